@@ -1,0 +1,15 @@
+"""Reshaping helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def stack_columns(df: DataFrame, pairs: list[tuple[str, Column | str]], label: str, value: str,
+                  keep: list[str] | None = None) -> DataFrame:
+    """Turn named value columns into (label, value) rows with ``stack``: no join, no shuffle."""
+    args: list[Column] = [F.lit(len(pairs))]
+    for name, col in pairs:
+        args += [F.lit(name), F.col(col) if isinstance(col, str) else col]
+    return df.select(*(keep or []), F.stack(*args).alias(label, value))
