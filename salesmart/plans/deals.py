@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import measures as M
-from salesmart.operators.first_rows import flag_first_in_group, group_minimum
+from salesmart.operators.first_rows import FIRST, group_minimum
 from salesmart.operators.joins import left_lookup, prefixed
 from salesmart.rules import DEFAULT_RULES, RENTAL_CONTRACT_NAMES, Rules
 
@@ -19,21 +19,28 @@ DM_DEALS_COLUMNS = [
 ]
 
 
-def with_property_type(fact: DataFrame, deal: DataFrame, objects: DataFrame, bid: DataFrame,
-                       deal_key: str = "deal_id", out: str = "property_type") -> DataFrame:
-    """Attach M11's property type: fact -> deal -> object, deal -> bid (left lookups).
+def deal_property_types(deal: DataFrame, objects: DataFrame, bid: DataFrame) -> DataFrame:
+    """M11 per deal: (deal_key, deal_property_type), resolved on the dimension side.
 
-    Only ``out`` is added; the looked-up deal, object and bid columns are dropped.
+    Deal -> object is a lookup with NULL keys kept out of the shuffle; the bid
+    relation is a small dimension (AQE broadcasts it when its measured size
+    allows, else it is a shuffled join).
     """
     d = prefixed(deal.select("id", "object_id", "bid_id", "deal_type", "developer", "object_type"), "d_")
     o = prefixed(objects.select("id", "property_type", "land_status"), "o_")
     b = prefixed(bid.select("id", "object_type"), "b_")
-    x = left_lookup(fact, d, deal_key, "d_id")
-    x = left_lookup(x, o, "d_object_id", "o_id")
-    x = left_lookup(x, b, "d_bid_id", "b_id")
+    x = left_lookup(d, o, "d_object_id", "o_id")
+    x = x.join(b, x["d_bid_id"] == b["b_id"], "left")
     ptype = M.property_type("d_deal_type", "d_developer", "b_object_type", "o_land_status",
                             "o_property_type", "d_object_type")
-    return x.select(*fact.columns, ptype.alias(out))
+    return x.select(F.col("d_id").alias("deal_key"), ptype.alias("deal_property_type"))
+
+
+def with_property_type(fact: DataFrame, deal: DataFrame, objects: DataFrame, bid: DataFrame,
+                       deal_key: str = "deal_id", out: str = "property_type") -> DataFrame:
+    """Attach M11's property type to fact rows through their deal (one left lookup)."""
+    x = left_lookup(fact, deal_property_types(deal, objects, bid), deal_key, "deal_key")
+    return x.withColumnRenamed("deal_property_type", out)
 
 
 def home_sales_records(accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -98,16 +105,27 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     id) when it is dated, typed and not a rental; if the earliest deal is a
     rental nobody is flagged that month.
     """
-    staff = staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules)).distinct()
+    staff = (staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
+             .repartition(*PERSON_MONTH).distinct())
     deals = valid_deals(accounting, deal, objects, bid, rules)
-    first = group_minimum(deals, PERSON_MONTH, ["realization_date", "ata_id"])
-    flagged = flag_first_in_group(deals, PERSON_MONTH, ["realization_date", "ata_id"], "_is_first", minimum=first)
-    valid_first = (F.col("_is_first") == 1) & F.col("property_type").isNotNull() & ~M.is_rental_text("property_type", rules)
-    flagged = flagged.withColumn("is_first_valid_deal", F.when(valid_first, 1).otherwise(0)).drop("_is_first")
-    # Inner join + anti join instead of one LEFT JOIN: a person-month holding a
-    # large share of all deals is then split by AQE's skew handling.
-    with_deals = staff.join(flagged, PERSON_MONTH, "inner")
-    without = staff.join(first.select(*PERSON_MONTH), PERSON_MONTH, "left_anti").select(
+    # The month's earliest deal needs only (date, id) of the records: an
+    # aggregate over the filtered records, not over the joined deals.
+    first = group_minimum(
+        home_sales_records(accounting, rules).select(
+            F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
+            F.month("realization_date").alias("month"), "realization_date", F.col("id").alias("ata_id")),
+        PERSON_MONTH, ["realization_date", "ata_id"])
+    # One LEFT JOIN of staff with the per-month minimum (at most one row per
+    # key, so no skew); both branches below read that same subtree, so its
+    # shuffles are computed once and reused.  Deal rows come from an inner join
+    # on the aligned keys; months whose minimum is missing have no deals.
+    staff_first = staff.join(first, PERSON_MONTH, "left")
+    is_first = F.struct("realization_date", "ata_id").eqNullSafe(F.col(FIRST))
+    valid_first = is_first & F.col("property_type").isNotNull() & ~M.is_rental_text("property_type", rules)
+    with_deals = staff_first.join(deals, PERSON_MONTH, "inner").select(
+        *staff.columns, "realization_date", "income", "ata_id", "property_type",
+        F.when(valid_first, 1).otherwise(0).alias("is_first_valid_deal"))
+    without = staff_first.where(F.col(FIRST).isNull()).select(
         *staff.columns, F.lit(None).cast("date").alias("realization_date"),
         F.lit(None).cast(deals.schema["income"].dataType).alias("income"),
         F.lit(None).cast("long").alias("ata_id"), F.lit(None).cast("string").alias("property_type"),

@@ -18,15 +18,14 @@ from salesmart.sources.snapshot import company_family, personnel_projection
 def daily_personnel(users: DataFrame, calendar: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """today's snapshot row of every person in the company family who is active or left < 5 months ago.
 
-    The run date must be a calendar day; the check is a semi join on ``date``
-    against the calendar cut to that one day (a bounded, broadcast side).
+    The run date must be a calendar day: an uncorrelated EXISTS over the
+    calendar cut to that day (evaluated once, no join).
     """
     as_of = F.lit(rules.as_of)
     retained = (F.col("is_active") == F.lit(True)) | (M.months_since("deactivation_date", as_of) < rules.retention_months)
-    people = company_family(users, rules).where(retained).withColumn("date", as_of)
-    today = calendar.where(F.col("date") == as_of).select("date")
-    people = people.join(F.broadcast(today), "date", "left_semi")
-    return personnel_projection(people, F.col("date"), as_of)
+    is_calendar_day = calendar.where(F.col("date") == as_of).exists()
+    people = company_family(users, rules).where(retained & is_calendar_day)
+    return personnel_projection(people, as_of, as_of)
 
 
 # --- P7 head count ----------------------------------------------------------
