@@ -94,11 +94,14 @@ def exp_group_hr(exp: ColumnOrName) -> Column:
 
 
 def exp_category_rds(exp: ColumnOrName) -> Column:
-    """M8: snapshot tenure band; below 3 months the label is '0' followed by the month count."""
+    """M8: snapshot tenure band; below 3 months the label is '0' followed by the month count.
+
+    The text concatenation skips a NULL count (giving '0'), as SQL CONCAT does.
+    """
     e = _c(exp)
     b = R.EXP_BANDS_RDS
     return (F.when(e > 24, b[0]).when((e > 12) & (e < 25), b[1]).when((e > 6) & (e < 13), b[2])
-             .when((e > 2) & (e < 7), b[3]).otherwise(F.concat(F.lit("0"), e.cast("int").cast("string"))))
+             .when((e > 2) & (e < 7), b[3]).otherwise(F.concat_ws("", F.lit("0"), e.cast("int").cast("string"))))
 
 
 def exp_at_least(exp: ColumnOrName, n: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from salesmart import rules as R
 from salesmart.functions import measures as M
-from salesmart.operators.first_rows import FIRST, flag_first_in_group, flag_global_first, group_minimum
+from salesmart.operators.first_rows import FIRST, flag_global_first, group_minimum
 from salesmart.rules import DEFAULT_RULES, Rules
 
 PERSON_MONTH = ["user_id", "year", "month"]
@@ -85,16 +85,12 @@ def _traffic_measures(rules: Rules) -> list:
     ]
 
 
-def traffic_light_1m(daily_personnel: DataFrame, accounting: DataFrame, users: DataFrame,
-                     rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Each snapshot person-month with each of its records, plus newcomers' records.
-
-    Arm A (snapshot staff): one row per record, or one empty row; the first
-    row of each person-month (earliest date, then record id) is flagged.
-    Arm B (records of people in their first month): exactly one row of the
-    whole arm is flagged, the one with the smallest (person, date, record).
-    Records are unique per id, so each output row is one record; the flag
-    minimum is an aggregate and the arm-B minimum a scalar subquery.
+def traffic_arm_snapshot(daily_personnel: DataFrame, accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """P4 arm A: each snapshot person-month with each of its records, or one empty row.
+
+    The first row of each person-month (earliest date, then record id) is
+    flagged; the minimum is an aggregate over the records (combined
+    map-side), joined back on the same keys.
     """
     rec_cols = ["ata_id", "status", "realization_date", "contract_id", "contract_name", "deal_type", "income", "payment"]
     records = dated_records(accounting).select(*PERSON_MONTH, F.col("id").alias("ata_id"), *rec_cols[1:])
@@ -102,29 +98,44 @@ def traffic_light_1m(daily_personnel: DataFrame, accounting: DataFrame, users: D
         F.year("date").alias("year"), F.month("date").alias("month"), F.col("id").alias("user_id"),
         "full_name", "department", "position", "is_active", "experience")
     first = group_minimum(records, PERSON_MONTH, ["realization_date", "ata_id"])
-    flagged = flag_first_in_group(records, PERSON_MONTH, ["realization_date", "ata_id"], "is_first_occurrence",
-                                  minimum=first)
-    # Inner join + anti join (not one LEFT JOIN) so a hot person-month can be split by AQE.
-    with_records = staff.join(flagged, PERSON_MONTH, "inner")
-    without = staff.join(first.select(*PERSON_MONTH), PERSON_MONTH, "left_anti").select(
+    staff_first = staff.join(first, PERSON_MONTH, "left")
+    with_records = staff_first.join(records, PERSON_MONTH, "inner").select(
+        *staff.columns, *rec_cols,
+        F.struct("realization_date", "ata_id").eqNullSafe(F.col(FIRST)).cast("int").alias("is_first_occurrence"))
+    without = staff_first.where(F.col(FIRST).isNull()).select(
         *staff.columns, *[F.lit(None).cast(records.schema[c].dataType).alias(c) for c in rec_cols],
         F.lit(1).alias("is_first_occurrence"))
-    arm_a = with_records.unionByName(without).select(
+    return with_records.unionByName(without).select(
         "month", "year", "user_id", "full_name", "department", "position", "is_active",
         F.col("experience").cast("int").alias("experience"), *_traffic_measures(rules), "is_first_occurrence")
 
+
+def traffic_arm_newcomers(accounting: DataFrame, users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """P4 arm B: home-company records of people in their first month (name and team from the record).
+
+    Exactly one row of the whole arm is flagged: the smallest (person, date,
+    record), found by a scalar-subquery minimum instead of a global window.
+    """
+    rec_cols = ["status", "realization_date", "contract_id", "contract_name", "deal_type", "income", "payment"]
     u = users.select(F.col("id").alias("user_id"), F.col("position").alias("u_position"),
                      F.col("is_active").alias("u_is_active"), "career_start", "start_date")
     fresh = accounting.where((F.col("company") == rules.home_company) & (F.col("office") != rules.rental_office))
     fresh = fresh.select(F.col("responsible_id").alias("user_id"), "responsible_name", "team",
-                         F.col("id").alias("ata_id"), *rec_cols[1:]).join(u, "user_id", "inner")
+                         F.col("id").alias("ata_id"), *rec_cols).join(u, "user_id", "inner")
     tenure = M.tenure_months("realization_date")
-    arm_b = fresh.where(tenure == 0).select(
+    arm = fresh.where(tenure == 0).select(
         F.month("realization_date").alias("month"), F.year("realization_date").alias("year"), "user_id",
         F.col("responsible_name").alias("full_name"), F.col("team").alias("department"),
         F.col("u_position").alias("position"), F.col("u_is_active").alias("is_active"),
         tenure.alias("experience"), *_traffic_measures(rules))
-    arm_b = flag_global_first(arm_b, ["user_id", "realization_date", "ata_id"], "is_first_occurrence")
+    return flag_global_first(arm, ["user_id", "realization_date", "ata_id"], "is_first_occurrence")
+
+
+def traffic_light_1m(daily_personnel: DataFrame, accounting: DataFrame, users: DataFrame,
+                     rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Snapshot person-months with their records (arm A) plus newcomers' records (arm B), distinct."""
+    arm_a = traffic_arm_snapshot(daily_personnel, accounting, rules)
+    arm_b = traffic_arm_newcomers(accounting, users, rules)
     return arm_a.unionByName(arm_b).distinct().select(*TRAFFIC_COLUMNS)
 
 
@@ -180,25 +191,36 @@ def undated_metrics(metrics: dict[str, DataFrame]) -> DataFrame:
                                   *[F.sum(c).alias(c) for c in AD_COLUMNS + ["avician"]])
 
 
-def key_values(daily_personnel: DataFrame, metrics: dict[str, DataFrame], rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Ten activity metrics and their total per person-month, active people only (total > 0).
+def key_value_people(daily_personnel: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """P6 rows before the metrics: snapshot-day rows with positive tenure, plus newcomers seen on
+    the look-back day (tenure 0 at the run date).
 
-    Rows: snapshot-day rows with positive tenure, plus newcomers seen on the
-    look-back day (tenure 0 at the run date).  Both arms project the same
-    columns, so they are one scan with an OR filter; undated metrics repeat
-    on every month of a person.
+    Both arms project the same columns, so UNION of the two arms is one scan
+    with an OR filter followed by a distinct (partitioned by the join keys,
+    which the metric join then reuses).
     """
     as_of = rules.as_of
     lookback = as_of - dt.timedelta(days=rules.newcomer_lookback_days)
     snapshot_arm = (F.dayofmonth("date") == rules.snapshot_day) & (F.col("experience") > 0)
     newcomer_arm = (M.month_diff(F.lit(as_of), "career_start") == 0) & (F.col("date") == F.lit(lookback))
-    people = daily_personnel.where(snapshot_arm | newcomer_arm).select(
+    return daily_personnel.where(snapshot_arm | newcomer_arm).select(
         F.month("date").alias("month"), F.year("date").alias("year"), "id", "full_name", "department", "position",
         M.month_diff("date", "career_start").alias("experience")).repartition("id", "year", "month").distinct()
+
+
+def attach_metrics(people: DataFrame, metrics: dict[str, DataFrame]) -> DataFrame:
+    """LEFT JOIN people (id, year, month, ...) with the ten metric relations, zero-filled, with ``all_sum``.
+
+    Undated metrics repeat on every month of a person.
+    """
     joined = people.join(dated_metrics_wide(metrics), ["id", "year", "month"], "left") \
                    .join(undated_metrics(metrics), "id", "left")
-    filled = joined.select("month", "year", "id", "full_name", "department", "position", "experience",
+    filled = joined.select(*people.columns,
                            *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in SUMMED[:-1] + AD_COLUMNS + ["avician"]])
-    total = M.total(SUMMED)
-    return filled.where(total > 0).select(*[c for c in KEY_VALUES_COLUMNS if c not in ("all_sum", "avician")],
-                                          total.cast("long").alias("all_sum"), "avician").select(*KEY_VALUES_COLUMNS)
+    return filled.withColumn("all_sum", M.total(SUMMED).cast("long"))
+
+
+def key_values(daily_personnel: DataFrame, metrics: dict[str, DataFrame], rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Ten activity metrics and their total per person-month, active people only (total > 0)."""
+    rows = attach_metrics(key_value_people(daily_personnel, rules), metrics)
+    return rows.where(F.col("all_sum") > 0).select(*KEY_VALUES_COLUMNS)

@@ -105,7 +105,16 @@ MARTS: dict[str, Query] = {
 }
 
 
+def _unit(fn: Callable[[Inputs], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Inputs(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "unit")
+    return run
+
+
 def queries() -> dict[str, Query]:
+    from salesmart.plans.units import UNITS
     out: dict[str, Query] = {}
     out.update(MARTS)
+    out.update({key: _unit(fn) for key, (fn, _sql) in UNITS.items()})
     return out
