@@ -17,6 +17,7 @@ halfway is repaired by running it again.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -105,33 +106,51 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
+                       build: Callable[[DataFrame | None], DataFrame], partition_cols: list[str]) -> DataFrame:
+    """Replace the partitions named by ``touched`` with ``build(current rows of those partitions)``.
+
+    Only the touched partitions are read (NULL-safe semi join on the
+    partition columns, so Spark prunes the others).  The new content is
+    checkpointed to ``spark.checkpoint.dir`` before the write, so the write
+    never reads the files it replaces, and written with dynamic partition
+    overwrite: untouched partitions are not rewritten.  Returns the staged
+    (checkpointed) content, which may carry extra bookkeeping columns that
+    are dropped before writing if they start with ``upsert_``.
+    """
+    if _exists(spark, path):
+        current = spark.read.parquet(path)
+        if partition_cols:
+            t = current.alias("t")
+            p = touched.select(*partition_cols).distinct().alias("p")
+            cond = reduce(lambda a, b: a & b, [F.col("t." + c).eqNullSafe(F.col("p." + c)) for c in partition_cols])
+            current = t.join(p, cond, "left_semi")
+    else:
+        current = None
+    staged = build(current).checkpoint(eager=True)
+    out = staged.drop(*[c for c in staged.columns if c.startswith("upsert_")])
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.parquet(path)
+    return staged
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_cols: list[str] | None = None, update_cols: list[str] | None = None,
                  nulls_distinct: bool = False) -> UpsertResult:
     """Upsert ``source`` into the parquet table at ``path``, rewriting only touched partitions."""
     partition_cols = list(partition_cols or [])
     check_unique(source, keys)
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not _exists(spark, path):
-        counted = source.withColumn(ACTION, F.lit("inserted"))
-        target_part = None
-    else:
-        target = spark.read.parquet(path).select(*source.columns)
-        if partition_cols:
-            touched = source.select(*partition_cols).distinct().alias("p")
-            cond = reduce(lambda a, b: a & b, [F.col("t." + c).eqNullSafe(F.col("p." + c)) for c in partition_cols])
-            target = target.alias("t").join(touched, cond, "left_semi")
-        target_part = target
-        counted = merge(target_part, source, keys, update_cols, nulls_distinct, with_action=True)
-    # Reliable checkpoint in spark.checkpoint.dir: the write below must not read the files it replaces.
-    staged = counted.checkpoint(eager=True)
+
+    def build(current: DataFrame | None) -> DataFrame:
+        if current is None:
+            return source.withColumn(ACTION, F.lit("inserted"))
+        return merge(current.select(*source.columns), source, keys, update_cols, nulls_distinct, with_action=True)
+
+    staged = rewrite_partitions(spark, path, source, build, partition_cols)
     stats = {r[ACTION]: r["n"] for r in staged.groupBy(ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_parts = staged.select(*partition_cols).distinct().count() if partition_cols else 1
-    out = staged.drop(ACTION)
-    writer = out.write.mode("overwrite").options(**writer_opts)
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
     return UpsertResult(stats.get("inserted", 0), stats.get("updated", 0), stats.get("kept", 0), n_parts)
 
 

@@ -98,13 +98,27 @@ def valid_deals(accounting: DataFrame, deal: DataFrame, objects: DataFrame, bid:
 
 
 def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accounting: DataFrame, deal: DataFrame,
-                         objects: DataFrame, bid: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+                         objects: DataFrame, bid: DataFrame, rules: Rules = DEFAULT_RULES,
+                         only: DataFrame | None = None) -> DataFrame:
     """Every salesperson-month with each valid deal, or one empty row without deals.
 
     ``is_first_valid_deal`` marks the month's earliest deal (date, then record
     id) when it is dated, typed and not a rental; if the earliest deal is a
     rental nobody is flagged that month.
+
+    ``only`` (user_id, year, month) restricts the computation to those
+    person-months (semi joins on the snapshot and the records); the rows of a
+    person-month do not depend on any other person-month.
     """
+    if only is not None:
+        keys = only.select(*PERSON_MONTH).distinct()
+        daily_personnel = (daily_personnel.withColumns({"_y": F.year("date"), "_m": F.month("date")})
+                           .join(keys.select(F.col("user_id").alias("id"), F.col("year").alias("_y"),
+                                             F.col("month").alias("_m")), ["id", "_y", "_m"], "left_semi")
+                           .drop("_y", "_m"))
+        accounting = (accounting.withColumns({"user_id": F.col("responsible_id"), "year": F.year("realization_date"),
+                                              "month": F.month("realization_date")})
+                      .join(keys, PERSON_MONTH, "left_semi").drop(*PERSON_MONTH))
     staff = (staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
              .repartition(*PERSON_MONTH).distinct())
     deals = valid_deals(accounting, deal, objects, bid, rules)

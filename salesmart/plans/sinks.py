@@ -194,3 +194,59 @@ def _k8(i: Inputs) -> DataFrame:
 @unit("upsert_hr", _sql("hr_employee_analytics", O.p9_sql(base=OLD_USERS), O.p9_sql(), P9_COLS))
 def _k9(i: Inputs) -> DataFrame:
     return _merge("hr_employee_analytics", _old(i, users_hired_before=HIRED_BEFORE).p9(), i.p9())
+
+
+# --- README-level features: drill-down, row-level security, incremental sync ---------
+
+@unit("row_level_filter", O.q(
+    "SELECT h.viewer_id, k.* FROM (SELECT id AS viewer_id, department FROM users WHERE position = 'Руководитель') h "
+    f"JOIN ({O.P3_SELECT}) k ON h.department = k.department", *O.P2_CTES))
+def _r2(i: Inputs) -> DataFrame:
+    from salesmart.plans.access import department_heads, row_level_filter
+    return row_level_filter(i.p3(), department_heads(i.users))
+
+
+_DRILL_ON = " AND ".join(f"k.{c} IS NOT DISTINCT FROM d.{c}" for c in
+                         ["year", "month", "full_name", "department", "position", "company", "property_type", "deal_category"])
+
+
+@unit("drilldown_kpi_to_deals", O.q(
+    "SELECT k.year, k.month, k.full_name, k.department, k.position, k.company, k.property_type, k.deal_category, "
+    "k.deal_count, k.deal_income, d.user_id, d.ata_id, d.realization_date, d.income "
+    f"FROM ({O.P3_SELECT}) k JOIN dm d ON {_DRILL_ON}", *O.P2_CTES))
+def _r3(i: Inputs) -> DataFrame:
+    from salesmart.plans.access import drilldown
+    from salesmart.plans.deals import sales_staff_agg_income
+    p2 = i.p2()
+    return drilldown(sales_staff_agg_income(p2), p2)
+
+
+_INC_SQL = (_sql("dm_sales_staff_deals", _P2_OLD, f"SELECT * FROM ({_P2_NEW}) n WHERE ata_id IS NOT NULL", P2_COLS)
+            + f" UNION ALL SELECT n.* FROM ({_P2_NEW}) n WHERE n.ata_id IS NULL AND NOT EXISTS (SELECT 1 FROM ({_P2_OLD}) e "
+            "WHERE e.user_id = n.user_id AND e.year = n.year AND e.month = n.month AND e.ata_id IS NULL)")
+
+
+@unit("inc_refresh_deals", _INC_SQL)
+def _r1(i: Inputs) -> DataFrame:
+    """Target after an incremental refresh: mart on records before the cut-off, then the later records
+    arrive as a file stream in several micro-batches.  Must equal the full refresh (K2 + K10)."""
+    from salesmart.plans.deals import DM_DEALS_COLUMNS, dm_sales_staff_deals
+    from salesmart.sources.snapshot import snapshot_day_filter
+    from salesmart.streaming.incremental import run_incremental_refresh, scratch_folder
+
+    spark = i.fx.spark
+    records = i.accounting
+    date = F.col("realization_date")
+    base = records.where(date.isNull() | (date < F.lit(CUTOFF)))
+    landed = records.where(date >= F.lit(CUTOFF))
+    root = scratch_folder(spark, "inc-refresh")
+    landing, staging, target, ckpt = (f"{root}/{n}" for n in ("landing", "staging", "target", "stream-checkpoint"))
+    landed.repartition(4, "responsible_id").write.parquet(landing)
+    snapshot = i.snapshot(snapshot_day_filter(i.rules))
+
+    def mart_for(recs: DataFrame, touched: DataFrame | None) -> DataFrame:
+        return dm_sales_staff_deals(snapshot, i.users, recs, i.fx.deal, i.fx.objects, i.fx.bid, i.rules, only=touched)
+
+    mart_for(base, None).write.partitionBy("year", "month").parquet(target)
+    run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for, files_per_batch=1)
+    return spark.read.parquet(target).select(*DM_DEALS_COLUMNS)
