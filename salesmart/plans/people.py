@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from salesmart import rules as R
 from salesmart.functions import measures as M
-from salesmart.operators.reshape import stack_columns
 from salesmart.rules import DEFAULT_RULES, Rules
 from salesmart.sources.snapshot import company_family, personnel_projection
 
@@ -64,30 +63,31 @@ def _headcount_conditions(rules: Rules):
 def operational_headcount(users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Head count of active home-company staff per tenure month (< 7) and per role bucket.
 
-    One scan of ``users`` and one aggregate: rows are grouped by their monthly
-    label (NULL when not in the monthly bucket) with one conditional count per
-    role bucket; the handful of groups is then summed and stacked into rows.
-    Buckets overlap, so each is counted on its own.  Sum-style buckets give
-    NULL when empty, count-style buckets 0; an empty monthly label gives no row.
+    One scan of ``users``: rows are grouped by their monthly label (NULL when
+    outside the monthly bucket) with one conditional count per role bucket
+    (partial aggregation map-side).  A second, global aggregate over those few
+    groups sums the buckets and lists the monthly labels (at most one per
+    tenure month), and one ``explode`` turns the result into rows.  Buckets
+    overlap, so each is counted on its own.  Sum-style buckets give NULL when
+    empty, count-style buckets 0; an empty monthly label gives no row.
     """
     monthly, fixed = _headcount_conditions(rules)
     base = users.where((F.col("company") == rules.home_company) & (F.col("is_active") == F.lit(True))) \
                 .select("id", "department", "position", "office", M.tenure_months(F.lit(rules.as_of)).alias("tenure"))
     names = {label: f"b{i}" for i, label in enumerate(fixed)}
     level1 = base.groupBy(F.when(monthly, F.col("tenure").cast("string")).alias("month_label")).agg(
-        F.count("id").alias("month_count"),
+        F.count("id").cast("long").alias("month_count"),
         *[(F.sum(F.when(cond, 1)) if empty_null else F.count(F.when(cond, F.col("id")))).alias(names[label])
           for label, (cond, empty_null) in fixed.items()])
-    report_date = M.report_date(rules.as_of)
-    by_month = level1.where(F.col("month_label").isNotNull()).select(
-        report_date.alias("date"), F.col("month_count").cast("long").alias("users_count"),
-        F.col("month_label").alias("exp"))
-    totals = level1.agg(*[
-        (F.sum(names[label]) if empty_null else F.coalesce(F.sum(names[label]), F.lit(0))).cast("long").alias(names[label])
-        for label, (_, empty_null) in fixed.items()])
-    by_bucket = stack_columns(totals, [(label, names[label]) for label in fixed], "exp", "users_count") \
-        .select(report_date.alias("date"), "users_count", "exp")
-    return by_month.unionByName(by_bucket)
+    entry = lambda exp, n: F.struct(exp.alias("exp"), n.cast("long").alias("users_count"))
+    level2 = level1.agg(
+        F.collect_list(F.when(F.col("month_label").isNotNull(),
+                              entry(F.col("month_label"), F.col("month_count")))).alias("monthly"),
+        *[(F.sum(names[label]) if empty_null else F.coalesce(F.sum(names[label]), F.lit(0))).alias(names[label])
+          for label, (_, empty_null) in fixed.items()])
+    buckets = F.array(*[entry(F.lit(label), F.col(names[label])) for label in fixed])
+    rows = level2.select(F.explode(F.concat(F.col("monthly"), buckets)).alias("r"))
+    return rows.select(M.report_date(rules.as_of).alias("date"), "r.users_count", "r.exp")
 
 
 # --- P9 HR analytics ----------------------------------------------------------

@@ -153,33 +153,33 @@ def _flt_retention(i: Inputs) -> DataFrame:
 
 # --- 2.3 measures ----------------------------------------------------------------
 
-def _users_measure(key: str, spark_col, sql_expr: str):
-    unit(key, O.q(f"SELECT id, {sql_expr} AS value FROM users"))(lambda i: i.users.select("id", spark_col.alias("value")))
+def _users_measure(key: str, spark_col: Callable[[], object], sql_expr: str):
+    unit(key, O.q(f"SELECT id, {sql_expr} AS value FROM users"))(lambda i: i.users.select("id", spark_col().alias("value")))
 
 
 _AGE_SQL = f"CAST(date_part('year', age({A}, birth_date)) AS INTEGER)"
 _EXP_SQL = _i(O.md(A, START))
 _BDAY = f"birth_date + to_years(CAST(year({A}) - year(birth_date) AS INTEGER))"
 
-_users_measure("m_tenure_months", M.tenure_months(AS_OF), _EXP_SQL)
-_users_measure("m_deactivation_period", M.months_since("deactivation_date", AS_OF),
+_users_measure("m_tenure_months", lambda: M.tenure_months(AS_OF), _EXP_SQL)
+_users_measure("m_deactivation_period", lambda: M.months_since("deactivation_date", AS_OF),
                _i(f"COALESCE({O.md(A, 'deactivation_date')}, 0)"))
-_users_measure("m_age_decimal", M.age_decimal("birth_date", AS_OF),
+_users_measure("m_age_decimal", lambda: M.age_decimal("birth_date", AS_OF),
                f"CAST(ROUND(CAST({O.md(A, 'birth_date')} AS DECIMAL(10,0)) / 12, 2) AS DECIMAL(10,2))")
-_users_measure("m_age_years", M.age_years("birth_date", AS_OF), _AGE_SQL)
-_users_measure("m_days_to_birthday", M.days_to_birthday("birth_date", AS_OF),
+_users_measure("m_age_years", lambda: M.age_years("birth_date", AS_OF), _AGE_SQL)
+_users_measure("m_days_to_birthday", lambda: M.days_to_birthday("birth_date", AS_OF),
                f"CAST(CASE WHEN birth_date IS NULL THEN 9999 ELSE datediff('day', {A}, CAST(CASE WHEN CAST({_BDAY} AS DATE) < {A} "
                f"THEN {_BDAY} + INTERVAL 1 YEAR ELSE {_BDAY} END AS DATE)) END AS INTEGER)")
-_users_measure("m_age_group", M.age_group(M.age_years("birth_date", AS_OF)),
+_users_measure("m_age_group", lambda: M.age_group(M.age_years("birth_date", AS_OF)),
                f"CASE WHEN {_AGE_SQL} BETWEEN 18 AND 25 THEN '18–25' WHEN {_AGE_SQL} BETWEEN 26 AND 35 THEN '26–35' "
                f"WHEN {_AGE_SQL} BETWEEN 36 AND 45 THEN '36–45' WHEN {_AGE_SQL} BETWEEN 46 AND 55 THEN '46–55' "
                f"WHEN {_AGE_SQL} >= 56 THEN '56+' ELSE 'Не указан / ошибка' END")
-_users_measure("m_exp_group_hr", M.exp_group_hr(M.tenure_months(AS_OF)),
+_users_measure("m_exp_group_hr", lambda: M.exp_group_hr(M.tenure_months(AS_OF)),
                f"CASE WHEN {_EXP_SQL} BETWEEN 0 AND 6 THEN '0-6' WHEN {_EXP_SQL} BETWEEN 7 AND 12 THEN '07-12' "
                f"WHEN {_EXP_SQL} BETWEEN 13 AND 24 THEN '13-24' WHEN {_EXP_SQL} >= 25 THEN '25+' END")
-_users_measure("m_active_label", M.active_label("is_active"),
+_users_measure("m_active_label", lambda: M.active_label("is_active"),
                "CASE WHEN is_active = FALSE THEN 'Уволен' ELSE 'Активен' END")
-_users_measure("m_masked_deactivation", M.masked_deactivation("deactivation_date", "is_active"),
+_users_measure("m_masked_deactivation", lambda: M.masked_deactivation("deactivation_date", "is_active"),
                "CASE WHEN is_active = TRUE THEN NULL ELSE deactivation_date END")
 
 
@@ -259,18 +259,18 @@ def _m_first_valid_deal(i: Inputs) -> DataFrame:
     return i.p2().select("user_id", "year", "month", "ata_id", "is_first_valid_deal")
 
 
-def _acct_measure(key: str, spark_cols: list, sql_cols: str):
-    unit(key, O.q(f"SELECT id, {sql_cols} FROM accounting"))(lambda i: i.accounting.select("id", *spark_cols))
+def _acct_measure(key: str, spark_cols: Callable[[], list], sql_cols: str):
+    unit(key, O.q(f"SELECT id, {sql_cols} FROM accounting"))(lambda i: i.accounting.select("id", *spark_cols()))
 
 
-_acct_measure("m_deal_flag", [M.deal_flag("contract_name", "status").alias("deal")],
+_acct_measure("m_deal_flag", lambda: [M.deal_flag("contract_name", "status").alias("deal")],
               f"CASE WHEN contract_name ILIKE {O.RENT_LIKE} OR status <> {O.CLOSED} OR status IS NULL THEN 0 ELSE 1 END AS deal")
-_acct_measure("m_status_label", [M.status_label("status").alias("status_label")],
+_acct_measure("m_status_label", lambda: [M.status_label("status").alias("status_label")],
               f"CASE WHEN status = {O.CLOSED} THEN {O.CLOSED} ELSE 'Нет данных' END AS status_label")
-_acct_measure("m_contract_label", [M.contract_label("contract_name", "status").alias("contract_label")],
+_acct_measure("m_contract_label", lambda: [M.contract_label("contract_name", "status").alias("contract_label")],
               f"CASE WHEN contract_name IS NULL AND status = {O.CLOSED} THEN 'Новостройка' WHEN contract_name IS NULL "
               "THEN 'Нет данных' ELSE contract_name END AS contract_label")
-_acct_measure("m_default_fills", [M.fill("contract_id", 1).alias("contract_id"),
+_acct_measure("m_default_fills", lambda: [M.fill("contract_id", 1).alias("contract_id"),
                                   M.fill("deal_type", R.NOT_LABELLED).alias("deal_type"),
                                   M.fill("deal_id", 0).alias("deal_id")],
               "COALESCE(contract_id, 1) AS contract_id, COALESCE(deal_type, 'Не размечено') AS deal_type, "
