@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from salesmart.plans import activity, deals, people
 from salesmart.rules import DEFAULT_RULES, Rules
-from salesmart.sources.fixtures import Fixtures
+from salesmart.sources.fixtures import shared_fixtures
 from salesmart.sources.snapshot import daily_personnel_history, key_values_day_filter, snapshot_day_filter
 
 CUTOFF = dt.date(2000, 1, 1)
@@ -25,7 +25,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES,
                  accounting_before: dt.date | None = None, users_hired_before: dt.date | None = None):
-        self.fx = Fixtures(spark, sf_dir, rules)
+        self.fx = shared_fixtures(spark, sf_dir, rules)
         self.rules = rules
         self.accounting_before = accounting_before
         self.users_hired_before = users_hired_before

@@ -169,3 +169,17 @@ class Fixtures:
 
     def metrics(self) -> dict[str, DataFrame]:
         return {name: self.relation(name) for name in METRIC_RELATIONS}
+
+
+_SHARED: dict[tuple, Fixtures] = {}
+
+
+def shared_fixtures(spark: SparkSession, sf_dir: str, rules: Rules = DEFAULT_RULES) -> Fixtures:
+    """One ``Fixtures`` per (session, directory, rules): the relations are analyzed once and reused.
+
+    Only lazy plans are kept, never data.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), rules)
+    if key not in _SHARED:
+        _SHARED[key] = Fixtures(spark, sf_dir, rules)
+    return _SHARED[key]
