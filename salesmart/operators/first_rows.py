@@ -8,7 +8,8 @@ The flag is then a join of the rows with their group's minimum on the same
 keys, which reuses the rows' partitioning.
 
 The global variant (no PARTITION BY) computes the minimum as a scalar
-subquery instead of a window over a single partition.
+subquery (partial minimum per task, then one row) instead of a window that
+would move every row into a single partition.
 """
 
 from __future__ import annotations
@@ -43,7 +44,16 @@ def flag_first_in_group(df: DataFrame, keys: list[str], order_cols: list[str], f
               .drop(FIRST))
 
 
-def flag_global_first(df: DataFrame, order_cols: list[str], flag: str) -> DataFrame:
-    """Add ``flag`` = 1 on the single row with the smallest order key of the whole frame."""
+def flag_global_first(df: DataFrame, order_cols: list[str], flag: str, materialize: bool = True) -> DataFrame:
+    """Add ``flag`` = 1 on the single row with the smallest order key of the whole frame.
+
+    The frame is read twice (rows, minimum); with ``materialize`` it is first
+    written once as a reliable checkpoint to ``spark.checkpoint.dir`` so the
+    work behind it is not repeated.
+    """
+    if materialize:
+        from salesmart.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     top = df.agg(F.min(order_key(order_cols)).alias(FIRST)).scalar()
     return df.withColumn(flag, F.coalesce(order_key(order_cols).eqNullSafe(top).cast("int"), F.lit(0)))
