@@ -1,0 +1,29 @@
+"""Set operations that keep the large input in place."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def union_distinct_into(large: DataFrame, small: DataFrame) -> DataFrame:
+    """``large UNION small`` (distinct) when ``large`` has no duplicate rows of its own.
+
+    A plain ``union().distinct()`` shuffles every row of both inputs by all
+    columns.  Here only ``small`` is de-duplicated and matched: the rows of
+    ``small`` that already occur in ``large`` are found with a NULL-safe semi
+    join of ``large`` against ``small`` (the small side is broadcast when its
+    measured size allows, else both are shuffled), and only the remaining
+    ``small`` rows are appended.  ``large`` itself is never de-duplicated, so
+    the caller must guarantee it is duplicate-free (e.g. unique by key).
+    """
+    cols = large.columns
+    small = small.select(*cols).distinct()
+    l, s = large.alias("l"), small.alias("s")
+    same = reduce(lambda a, b: a & b, [F.col("l." + c).eqNullSafe(F.col("s." + c)) for c in cols])
+    shared = l.join(s, same, "left_semi").alias("x")
+    back = reduce(lambda a, b: a & b, [F.col("s2." + c).eqNullSafe(F.col("x." + c)) for c in cols])
+    only_small = small.alias("s2").join(shared, back, "left_anti")
+    return large.unionByName(only_small)
