@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from salesmart import rules as R
 from salesmart.functions import measures as M
 from salesmart.operators.first_rows import FIRST, flag_global_first, group_minimum
-from salesmart.operators.sets import union_distinct_into
 from salesmart.rules import DEFAULT_RULES, Rules
 
 PERSON_MONTH = ["user_id", "year", "month"]
@@ -136,13 +135,13 @@ def traffic_light_1m(daily_personnel: DataFrame, accounting: DataFrame, users: D
                      rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Snapshot person-months with their records (arm A) plus newcomers' records (arm B), distinct.
 
-    Arm A has one row per (person-month, record) or one empty row per
-    person-month, so it holds no duplicates; the UNION therefore only needs
-    to drop arm-B rows already in arm A, without shuffling arm A by all columns.
+    The UNION's de-duplication runs after one shuffle by the table's conflict
+    key (month, year, user, record): the distinct is then local to each
+    partition, and the upsert's join on the same key can reuse the layout.
     """
     arm_a = traffic_arm_snapshot(daily_personnel, accounting, rules).select(*TRAFFIC_COLUMNS)
     arm_b = traffic_arm_newcomers(accounting, users, rules).select(*TRAFFIC_COLUMNS)
-    return union_distinct_into(arm_a, arm_b)
+    return arm_a.unionByName(arm_b).repartition("month", "year", "user_id", "ata_id").distinct()
 
 
 # --- P6 -------------------------------------------------------------------------

@@ -119,6 +119,7 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
         accounting = (accounting.withColumns({"user_id": F.col("responsible_id"), "year": F.year("realization_date"),
                                               "month": F.month("realization_date")})
                       .join(keys, PERSON_MONTH, "left_semi").drop(*PERSON_MONTH))
+    # One shuffle by person-month: the UNION's de-duplication is then local and the joins below reuse it.
     staff = (staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
              .repartition(*PERSON_MONTH).distinct())
     deals = valid_deals(accounting, deal, objects, bid, rules)
