@@ -19,28 +19,24 @@ DM_DEALS_COLUMNS = [
 ]
 
 
-def deal_property_types(deal: DataFrame, objects: DataFrame, bid: DataFrame) -> DataFrame:
-    """M11 per deal: (deal_key, deal_property_type), resolved on the dimension side.
+def with_property_type(fact: DataFrame, deal: DataFrame, objects: DataFrame, bid: DataFrame,
+                       deal_key: str = "deal_id", out: str = "property_type") -> DataFrame:
+    """Attach M11's property type to fact rows: fact -> deal -> object, deal -> bid.
 
-    Deal -> object is a lookup with NULL keys kept out of the shuffle; the bid
-    relation is a small dimension (AQE broadcasts it when its measured size
-    allows, else it is a shuffled join).
+    The fact is filtered before this call, so only its deals are looked up.
+    Each step is a left lookup with NULL keys salted (a third of the facts
+    may lack a deal, an object or a bid); small dimensions are broadcast by
+    AQE when their measured size allows.  Only ``out`` is added.
     """
     d = prefixed(deal.select("id", "object_id", "bid_id", "deal_type", "developer", "object_type"), "d_")
     o = prefixed(objects.select("id", "property_type", "land_status"), "o_")
     b = prefixed(bid.select("id", "object_type"), "b_")
-    x = left_lookup(d, o, "d_object_id", "o_id")
-    x = x.join(b, x["d_bid_id"] == b["b_id"], "left")
+    x = left_lookup(fact, d, deal_key, "d_id")
+    x = left_lookup(x, o, "d_object_id", "o_id")
+    x = left_lookup(x, b, "d_bid_id", "b_id")
     ptype = M.property_type("d_deal_type", "d_developer", "b_object_type", "o_land_status",
                             "o_property_type", "d_object_type")
-    return x.select(F.col("d_id").alias("deal_key"), ptype.alias("deal_property_type"))
-
-
-def with_property_type(fact: DataFrame, deal: DataFrame, objects: DataFrame, bid: DataFrame,
-                       deal_key: str = "deal_id", out: str = "property_type") -> DataFrame:
-    """Attach M11's property type to fact rows through their deal (one left lookup)."""
-    x = left_lookup(fact, deal_property_types(deal, objects, bid), deal_key, "deal_key")
-    return x.withColumnRenamed("deal_property_type", out)
+    return x.select(*fact.columns, ptype.alias(out))
 
 
 def home_sales_records(accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
