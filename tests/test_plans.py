@@ -1,6 +1,5 @@
 """Plan-shape checks: no Python UDFs, no global windows, pruning, one scan where promised."""
 
-import datetime as dt
 import os
 import re
 

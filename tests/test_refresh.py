@@ -1,6 +1,5 @@
 """The refresh jobs end to end: stored tables equal the marts, and a second run changes nothing."""
 
-import os
 
 import pytest
 

@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
 from salesmart import oracle as O
-from salesmart.plans import activity, deals
 from salesmart.plans.catalog import Inputs
 from salesmart.sources.fixtures import TEST_TABLES
-from salesmart.sources.snapshot import snapshot_day_filter
 
 HOT = 7   # an existing person id
 
