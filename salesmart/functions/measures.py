@@ -45,6 +45,19 @@ def tenure_months(ref: ColumnOrName | dt.date,
     return month_diff(ref, effective_start(career_start, start_date))
 
 
+def start_month_keys(users, extra: list[str] | None = None):
+    """(user_id, year, month) of each person's effective start, plus ``extra`` user columns.
+
+    "Tenure 0 at a record" (M1 = 0) is the record's (year, month) equal to the
+    start (year, month), so it can be an equi-join on these three keys instead
+    of a join on the person followed by a filter.  People without a start
+    date have NULL keys and, like NULL tenure, match nothing.
+    """
+    start = effective_start()
+    return users.select(F.col("id").alias("user_id"), F.year(start).alias("year"), F.month(start).alias("month"),
+                        *(extra or []))
+
+
 def months_since(date: ColumnOrName, as_of: ColumnOrName | dt.date) -> Column:
     """M2: months since ``date`` at ``as_of``; a NULL date counts as 0."""
     return F.coalesce(month_diff(as_of, date), F.lit(0))

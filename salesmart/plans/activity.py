@@ -117,17 +117,18 @@ def traffic_arm_newcomers(accounting: DataFrame, users: DataFrame, rules: Rules
     record), found by a scalar-subquery minimum instead of a global window.
     """
     rec_cols = ["status", "realization_date", "contract_id", "contract_name", "deal_type", "income", "payment"]
-    u = users.select(F.col("id").alias("user_id"), F.col("position").alias("u_position"),
-                     F.col("is_active").alias("u_is_active"), "career_start", "start_date")
-    fresh = accounting.where((F.col("company") == rules.home_company) & (F.col("office") != rules.rental_office))
-    fresh = fresh.select(F.col("responsible_id").alias("user_id"), "responsible_name", "team",
-                         F.col("id").alias("ata_id"), *rec_cols).join(u, "user_id", "inner")
-    tenure = M.tenure_months("realization_date")
-    arm = fresh.where(tenure == 0).select(
-        F.month("realization_date").alias("month"), F.year("realization_date").alias("year"), "user_id",
+    starts = M.start_month_keys(users, [F.col("position").alias("u_position"), F.col("is_active").alias("u_is_active")])
+    fresh = accounting.where((F.col("company") == rules.home_company) & (F.col("office") != rules.rental_office)
+                             & F.col("realization_date").isNotNull())
+    fresh = fresh.select(F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
+                         F.month("realization_date").alias("month"), "responsible_name", "team",
+                         F.col("id").alias("ata_id"), *rec_cols)
+    # Tenure 0 at the record = the record's month is the start month: an equi-join on (person, year, month).
+    arm = fresh.join(starts, PERSON_MONTH, "inner").select(
+        "month", "year", "user_id",
         F.col("responsible_name").alias("full_name"), F.col("team").alias("department"),
         F.col("u_position").alias("position"), F.col("u_is_active").alias("is_active"),
-        tenure.alias("experience"), *_traffic_measures(rules))
+        F.lit(0).alias("experience"), *_traffic_measures(rules))
     return flag_global_first(arm, ["user_id", "realization_date", "ata_id"], "is_first_occurrence")
 
 

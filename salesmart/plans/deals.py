@@ -58,19 +58,17 @@ def staff_on_snapshot_day(daily_personnel: DataFrame, rules: Rules = DEFAULT_RUL
 def newcomers(accounting: DataFrame, users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """People with a closed deal in the month they started (tenure 0 at the deal).
 
-    Records are first reduced to distinct (person, year, month): the result
-    depends on nothing else, and the reduction is combined map-side.
+    Records are first reduced to distinct (person, year, month), combined
+    map-side; "started that month" is then an equi-join on (person, year,
+    month) with the people's start months, so only newcomer months come out
+    and one person's records spread over their months.
     """
     months = (home_sales_records(accounting, rules)
               .select(F.col("responsible_id").alias("user_id"),
                       F.year("realization_date").alias("year"), F.month("realization_date").alias("month"))
               .distinct())
-    u = users.select(F.col("id").alias("user_id"), "full_name", "department", "position", "is_active",
-                     "company", "career_start", "start_date")
-    joined = months.join(u, "user_id", "inner")
-    start = M.effective_start("career_start", "start_date")
-    tenure = (F.col("year") - F.year(start)) * 12 + (F.col("month") - F.month(start))
-    return (joined.where(tenure == 0)
+    starts = M.start_month_keys(users, ["full_name", "department", "position", "is_active", "company"])
+    return (months.join(starts, PERSON_MONTH, "inner")
                   .select("user_id", "full_name", "department", "position", "is_active",
                           F.lit(0).alias("experience"), "company", "year", "month")
                   .distinct())
