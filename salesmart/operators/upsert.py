@@ -21,7 +21,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ACTION = "upsert_action"
@@ -107,7 +107,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
-                       build: Callable[[DataFrame | None], DataFrame], partition_cols: list[str]) -> DataFrame:
+                       build: Callable[[DataFrame | None], DataFrame], partition_cols: list[str],
+                       observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
     """Replace the partitions named by ``touched`` with ``build(current rows of those partitions)``.
 
     Only the touched partitions are read (NULL-safe semi join on the
@@ -116,7 +117,8 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
     never reads the files it replaces, and written with dynamic partition
     overwrite: untouched partitions are not rewritten.  Returns the staged
     (checkpointed) content, which may carry extra bookkeeping columns that
-    are dropped before writing if they start with ``upsert_``.
+    are dropped before writing if they start with ``upsert_``.  ``observe``
+    (an ``Observation`` and its metric columns) is evaluated during the write.
     """
     from salesmart.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
@@ -130,7 +132,8 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
     else:
         current = None
     staged = build(current).checkpoint(eager=True)
-    out = staged.drop(*[c for c in staged.columns if c.startswith("upsert_")])
+    out = staged if observe is None else staged.observe(observe[0], *observe[1])
+    out = out.drop(*[c for c in staged.columns if c.startswith("upsert_")])
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -138,22 +141,47 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
     return staged
 
 
+def keep_by_precedence(df: DataFrame, keys: list[str], precedence: list[str]) -> DataFrame:
+    """One row per key: the one with the largest ``precedence`` values (then the largest remaining columns).
+
+    A grouped ``max`` over a struct, combined map-side: no window, no group
+    gathered in one task.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in precedence]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in precedence + rest])).alias("_best"))
+    return best.select(*keys, *[F.col("_best." + c).alias(c) for c in precedence + rest]).select(*df.columns)
+
+
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                  partition_cols: list[str] | None = None, update_cols: list[str] | None = None,
-                 nulls_distinct: bool = False) -> UpsertResult:
-    """Upsert ``source`` into the parquet table at ``path``, rewriting only touched partitions."""
+                 nulls_distinct: bool = False, precedence: list[str] | None = None,
+                 rebuild: bool = False) -> UpsertResult:
+    """Upsert ``source`` into the parquet table at ``path``, rewriting only touched partitions.
+
+    Duplicate source keys raise ``DuplicateKeyError`` unless ``precedence``
+    names the columns that choose the surviving row.  ``rebuild`` ignores the
+    current content of the touched partitions (a fresh write of them).  The
+    inserted / updated / kept counts are observed during the write itself.
+    """
     partition_cols = list(partition_cols or [])
-    check_unique(source, keys)
+    if precedence:
+        source = keep_by_precedence(source, keys, precedence)
+    else:
+        check_unique(source, keys)
 
     def build(current: DataFrame | None) -> DataFrame:
-        if current is None:
+        if current is None or rebuild:
             return source.withColumn(ACTION, F.lit("inserted"))
         return merge(current.select(*source.columns), source, keys, update_cols, nulls_distinct, with_action=True)
 
-    staged = rewrite_partitions(spark, path, source, build, partition_cols)
-    stats = {r[ACTION]: r["n"] for r in staged.groupBy(ACTION).agg(F.count(F.lit(1)).alias("n")).collect()}
+    obs = Observation("upsert")
+    a = F.col(ACTION)
+    staged = rewrite_partitions(spark, path, source, build, partition_cols, observe=(obs, [
+        F.count(F.when(a == "inserted", 1)).alias("inserted"), F.count(F.when(a == "updated", 1)).alias("updated"),
+        F.count(F.when(a == "kept", 1)).alias("kept")]))
+    stats = obs.get
     n_parts = staged.select(*partition_cols).distinct().count() if partition_cols else 1
-    return UpsertResult(stats.get("inserted", 0), stats.get("updated", 0), stats.get("kept", 0), n_parts)
+    return UpsertResult(stats["inserted"], stats["updated"], stats["kept"], n_parts)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -82,3 +82,22 @@ def test_upsert_into_empty_target_is_source(spark, scratch):
     src = spark.createDataFrame([(2000, 1, "a", 1, "s"), (2000, 1, None, 2, "s")], SCHEMA)
     upsert_table(spark, path, src, ["year", "month", "k"])
     assert rows(spark.read.parquet(path).select("year", "month", "k", "v", "note")) == rows(src)
+
+
+def test_precedence_chooses_among_duplicate_keys(spark, scratch):
+    path = os.path.join(scratch, "prec")
+    src = spark.createDataFrame([(2000, 1, "a", 1, "old"), (2000, 1, "a", 5, "new"), (2000, 1, "b", 2, "x")], SCHEMA)
+    upsert_table(spark, path, src, ["year", "month", "k"], partition_cols=["year", "month"], precedence=["v"])
+    got = rows(spark.read.parquet(path).select("year", "month", "k", "v", "note"))
+    assert got == sorted([(2000, 1, "a", 5, "new"), (2000, 1, "b", 2, "x")], key=_key)
+
+
+def test_rebuild_replaces_touched_partitions(spark, scratch):
+    path = os.path.join(scratch, "rebuild")
+    first = spark.createDataFrame([(2000, 1, "a", 1, "t"), (2000, 2, "b", 2, "t")], SCHEMA)
+    upsert_table(spark, path, first, ["year", "month", "k"], partition_cols=["year", "month"])
+    src = spark.createDataFrame([(2000, 1, "c", 3, "s")], SCHEMA)
+    res = upsert_table(spark, path, src, ["year", "month", "k"], partition_cols=["year", "month"], rebuild=True)
+    assert (res.inserted, res.updated, res.kept) == (1, 0, 0)
+    got = rows(spark.read.parquet(path).select("year", "month", "k", "v", "note"))
+    assert got == sorted([(2000, 1, "c", 3, "s"), (2000, 2, "b", 2, "t")], key=_key)
