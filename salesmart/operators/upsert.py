@@ -51,13 +51,16 @@ def _key_match(keys: list[str], nulls_distinct: bool) -> Column:
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str] | None = None,
-          nulls_distinct: bool = False, with_action: bool = False) -> DataFrame:
+          nulls_distinct: bool = False, with_action: bool = False, insert_only: Column | None = None) -> DataFrame:
     """Upsert ``source`` into ``target`` and return the resulting rows.
 
     ``update_cols`` (default: every non-key column) take the source value on a
     match; other non-key columns keep the target value.  With
     ``nulls_distinct`` a NULL key part never matches (PostgreSQL's default
     unique index); by default NULL matches NULL so a refresh is idempotent.
+    ``insert_only`` (a condition on the source row, columns as ``s.<name>``)
+    marks rows that are inserted when absent but never overwrite a match
+    (``INSERT ... WHERE NOT EXISTS`` folded into the same join).
     """
     columns = source.columns
     missing = set(columns) ^ set(target.columns)
@@ -68,6 +71,8 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], update_cols: li
     s = source.select(*columns, F.lit(True).alias(_S)).alias("s")
     joined = t.join(s, _key_match(keys, nulls_distinct), "full_outer")
     in_s, in_t = F.col("s." + _S).isNotNull(), F.col("t." + _T).isNotNull()
+    if insert_only is not None:
+        in_s = in_s & ~(in_t & F.coalesce(insert_only, F.lit(False)))   # a matched insert-only row keeps the target
     out = []
     for c in columns:
         if c in keys or c in update_cols:
@@ -108,7 +113,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
                        build: Callable[[DataFrame | None], DataFrame], partition_cols: list[str],
-                       observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
+                       observe: tuple[Observation, list[Column]] | None = None,
+                       before_write: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Replace the partitions named by ``touched`` with ``build(current rows of those partitions)``.
 
     Only the touched partitions are read (NULL-safe semi join on the
@@ -118,7 +124,8 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
     overwrite: untouched partitions are not rewritten.  Returns the staged
     (checkpointed) content, which may carry extra bookkeeping columns that
     are dropped before writing if they start with ``upsert_``.  ``observe``
-    (an ``Observation`` and its metric columns) is evaluated during the write.
+    (an ``Observation`` and its metric columns) is evaluated during the write;
+    ``before_write`` may inspect the staged content and raise to stop the write.
     """
     from salesmart.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
@@ -132,8 +139,13 @@ def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
     else:
         current = None
     staged = build(current).checkpoint(eager=True)
+    if before_write is not None:
+        before_write(staged)
     out = staged if observe is None else staged.observe(observe[0], *observe[1])
     out = out.drop(*[c for c in staged.columns if c.startswith("upsert_")])
+    if partition_cols:
+        # AQE-balanced write: small partitions share a task, a large one is split over several.
+        out = out.hint("rebalance", *partition_cols)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -158,16 +170,21 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
                  rebuild: bool = False) -> UpsertResult:
     """Upsert ``source`` into the parquet table at ``path``, rewriting only touched partitions.
 
-    Duplicate source keys raise ``DuplicateKeyError`` unless ``precedence``
-    names the columns that choose the surviving row.  ``rebuild`` ignores the
+    Duplicate source keys raise ``DuplicateKeyError`` (before anything is
+    written) unless ``precedence`` names the columns that choose the
+    surviving row.  ``rebuild`` ignores the
     current content of the touched partitions (a fresh write of them).  The
     inserted / updated / kept counts are observed during the write itself.
     """
     partition_cols = list(partition_cols or [])
     if precedence:
         source = keep_by_precedence(source, keys, precedence)
-    else:
-        check_unique(source, keys)
+
+    def before_write(staged: DataFrame) -> None:
+        # Target keys are unique, so the merged rows repeat a key exactly when the source does.
+        # Checked on the staged (materialized) rows: the source is not computed a second time.
+        if not precedence and not nulls_distinct:
+            check_unique(staged, keys)
 
     def build(current: DataFrame | None) -> DataFrame:
         if current is None or rebuild:
@@ -178,7 +195,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     a = F.col(ACTION)
     staged = rewrite_partitions(spark, path, source, build, partition_cols, observe=(obs, [
         F.count(F.when(a == "inserted", 1)).alias("inserted"), F.count(F.when(a == "updated", 1)).alias("updated"),
-        F.count(F.when(a == "kept", 1)).alias("kept")]))
+        F.count(F.when(a == "kept", 1)).alias("kept")]), before_write=before_write)
     stats = obs.get
     n_parts = staged.select(*partition_cols).distinct().count() if partition_cols else 1
     return UpsertResult(stats["inserted"], stats["updated"], stats["kept"], n_parts)

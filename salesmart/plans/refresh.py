@@ -8,9 +8,9 @@ runs them in dependency order (``refresh_all``): personnel first, then the
 deal mart, then its aggregate, then the rest.
 
 Table layout (partition columns chosen so that each refresh rewrites few):
-daily_personnel by date; the monthly marts by (year, month); the sales report
-by realization date; the head count and HR tables unpartitioned (small,
-rewritten whole).
+daily_personnel by date; the monthly marts by (year, month); the sales report,
+head count and HR tables unpartitioned (aggregates bounded by dates x types,
+buckets, people: small, rewritten whole).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ TABLES = {
     "rds_on_5th_day": (["month", "year", "user_id", "status"], ["year", "month"], None),
     "key_values": (["month", "year", "id"], ["year", "month"], None),
     "operational_headcount_report": (["date", "exp"], [], ["users_count"]),
-    "operational_sales_report": (["realization_date", "property_type"], ["realization_date"], ["income", "deals_count"]),
+    "operational_sales_report": (["realization_date", "property_type"], [], ["income", "deals_count"]),
     "hr_employee_analytics": (["id"], [], None),
 }
 
@@ -87,10 +87,9 @@ def refresh_dm_sales_staff_deals(spark: SparkSession, wh: Warehouse, st: Staging
     fresh = deals.dm_sales_staff_deals(_snapshot(spark, wh), st.users, st.accounting, st.deal, st.objects, st.bid,
                                        rules)
     keys, parts, _ = TABLES["dm_sales_staff_deals"]
-    deal_rows = fresh.where(F.col("ata_id").isNotNull())
-    check_unique(deal_rows, keys)
     staged = rewrite_partitions(spark, wh.path("dm_sales_staff_deals"), fresh,
-                                lambda current: apply_refresh(current, fresh), parts)
+                                lambda current: apply_refresh(current, fresh), parts,
+                                before_write=lambda rows: check_unique(rows.where(F.col("ata_id").isNotNull()), keys))
     return staged.select(*parts).distinct().count()
 
 

@@ -29,8 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators.upsert import insert_if_absent, merge, rewrite_partitions
-from salesmart.plans.deals import DM_DEALS_COLUMNS, PERSON_MONTH
+from salesmart.operators.upsert import merge, rewrite_partitions
+from salesmart.plans.deals import DM_DEALS_COLUMNS
 
 DEAL_KEYS = ["user_id", "year", "month", "ata_id"]
 PARTITIONS = ["year", "month"]
@@ -45,18 +45,16 @@ def touched_person_months(records: DataFrame) -> DataFrame:
 
 
 def apply_refresh(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
-    """New content of the touched partitions: upsert deal rows, then add missing empty rows.
+    """New content of the touched partitions: deal rows upserted, empty rows inserted where absent.
 
-    Both steps test the target as it was before the batch; the upsert never
-    writes empty rows, so testing after it is the same.
+    One full outer join on the NULL-safe key (user, year, month, record): an
+    empty row (record NULL) matches the person-month's existing empty row and
+    then keeps it, which is the ``NOT EXISTS`` test; ``fresh`` is read once.
     """
-    deals_rows = fresh.where(F.col("ata_id").isNotNull())
-    empty_rows = fresh.where(F.col("ata_id").isNull())
     if current is None:
-        return deals_rows.unionByName(empty_rows)
-    current = current.select(*DM_DEALS_COLUMNS)
-    upserted = merge(current, deals_rows, DEAL_KEYS)
-    return insert_if_absent(upserted, empty_rows, PERSON_MONTH, absent_when=F.col("ata_id").isNull())
+        return fresh
+    return merge(current.select(*DM_DEALS_COLUMNS), fresh.select(*DM_DEALS_COLUMNS), DEAL_KEYS,
+                 insert_only=F.col("s.ata_id").isNull())
 
 
 def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_path: str, target_path: str,

@@ -101,3 +101,13 @@ def test_rebuild_replaces_touched_partitions(spark, scratch):
     assert (res.inserted, res.updated, res.kept) == (1, 0, 0)
     got = rows(spark.read.parquet(path).select("year", "month", "k", "v", "note"))
     assert got == sorted([(2000, 1, "c", 3, "s"), (2000, 2, "b", 2, "t")], key=_key)
+
+
+def test_upsert_table_rejects_duplicate_keys_before_writing(spark, scratch):
+    path = os.path.join(scratch, "dups")
+    first = spark.createDataFrame([(2000, 1, "a", 1, "t")], SCHEMA)
+    upsert_table(spark, path, first, ["year", "month", "k"], partition_cols=["year", "month"])
+    dup = spark.createDataFrame([(2000, 1, "b", 1, "x"), (2000, 1, "b", 2, "y")], SCHEMA)
+    with pytest.raises(DuplicateKeyError):
+        upsert_table(spark, path, dup, ["year", "month", "k"], partition_cols=["year", "month"])
+    assert rows(spark.read.parquet(path).select("year", "month", "k", "v", "note")) == [(2000, 1, "a", 1, "t")]
