@@ -166,12 +166,18 @@ KEY_VALUES_COLUMNS = ["month", "year", "id", "full_name", "department", "positio
                       "new_objects", "cost_change_count", "bids", *AD_COLUMNS, "all_sum", "avician"]
 
 
+def _unique_value(value, rows, what: str):
+    """The group's value, or a job failure when the relation holds the key more than once (asserted in-plan)."""
+    return F.when(rows > 1, F.raise_error(F.lit(f"duplicate key in metric relation {what}"))).otherwise(value)
+
+
 def dated_metrics_wide(metrics: dict[str, DataFrame]) -> DataFrame:
     """The eight dated metric relations as one row per (id, year, month): one union, one aggregate.
 
-    Equivalent to eight LEFT JOINs when each relation has one row per key
-    (each relation is a per-key aggregate); eight joins would shuffle the
-    snapshot eight times.
+    Equivalent to eight LEFT JOINs when each relation has one row per key,
+    and that uniqueness is asserted in the same aggregate (a repeated key
+    fails the job, where eight joins would fan rows out); eight joins would
+    also shuffle the snapshot eight times.
     """
     parts = []
     for name, (key, value, out) in DATED_METRIC_COLUMNS.items():
@@ -181,20 +187,24 @@ def dated_metrics_wide(metrics: dict[str, DataFrame]) -> DataFrame:
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    outs = [out for (_, _, out) in DATED_METRIC_COLUMNS.values()]
-    return long.groupBy("id", "year", "month").agg(
-        *[F.sum(F.when(F.col("metric") == out, F.col("value"))).alias(out) for out in outs])
+    outs = {out: name for name, (_, _, out) in DATED_METRIC_COLUMNS.items()}
+    return long.groupBy("id", "year", "month").agg(*[
+        _unique_value(F.sum(F.when(F.col("metric") == out, F.col("value"))),
+                      F.count(F.when(F.col("metric") == out, 1)), name).alias(out)
+        for out, name in outs.items()])
 
 
 def undated_metrics(metrics: dict[str, DataFrame]) -> DataFrame:
-    """Per-person metrics without a month (current objects, ad counts): one row per id."""
+    """Per-person metrics without a month (current objects, ad counts): one row per id, uniqueness asserted."""
     ao = metrics["actual_objects"].select(F.col("responsible_id").cast("long").alias("id"),
-                                          F.col("objects_count").alias("all_objects"))
+                                          F.col("objects_count").alias("all_objects"), F.lit(1).alias("_ao"))
     ads = metrics["ad_tables_count"].select(F.col("responsible_id").cast("long").alias("id"), *AD_COLUMNS,
-                                            F.col("avician_count").alias("avician"))
+                                            F.col("avician_count").alias("avician"), F.lit(1).alias("_ads"))
     both = ao.unionByName(ads, allowMissingColumns=True)
-    return both.groupBy("id").agg(F.sum("all_objects").cast(ao.schema["all_objects"].dataType).alias("all_objects"),
-                                  *[F.sum(c).alias(c) for c in AD_COLUMNS + ["avician"]])
+    return both.groupBy("id").agg(
+        _unique_value(F.sum("all_objects"), F.count("_ao"), "actual_objects")
+        .cast(ao.schema["all_objects"].dataType).alias("all_objects"),
+        *[_unique_value(F.sum(c), F.count("_ads"), "ad_tables_count").alias(c) for c in AD_COLUMNS + ["avician"]])
 
 
 def key_value_people(daily_personnel: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

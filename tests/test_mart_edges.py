@@ -116,3 +116,25 @@ def test_traffic_newcomer_arm_flags_exactly_one_row(spark):
                                   record(22, 1, D(2000, 3, 2), None)], ACCOUNTING)
     out = activity.traffic_arm_newcomers(recs, users).collect()
     assert sorted((r.ata_id, r.is_first_occurrence) for r in out) == [(20, 0), (21, 0), (22, 1)]
+
+
+def _metrics(spark, dup_name=None):
+    out = {}
+    for name, (key, value, _out) in activity.DATED_METRIC_COLUMNS.items():
+        rows = [(1, 2000, 3, 1)] + ([(1, 2000, 3, 2)] if name == dup_name else [])
+        out[name] = spark.createDataFrame(rows, f"{key} bigint, year int, month int, {value} bigint")
+    out["actual_objects"] = spark.createDataFrame([(1, 4)], "responsible_id bigint, objects_count int")
+    out["ad_tables_count"] = spark.createDataFrame(
+        [(1, 1, 1, 0, 0, 0, 1)], "responsible_id bigint, ads_count bigint, avito_count bigint, cian_count bigint, "
+                                 "yandex_count bigint, domclick_count bigint, avician_count bigint")
+    return out
+
+
+def test_key_values_sums_metrics_and_rejects_duplicate_metric_keys(spark):
+    import pytest
+    users = spark.createDataFrame([user(spark, 1)], USERS)
+    dp = daily_personnel_history(users, spark.createDataFrame([(D(2000, 3, 5),)], "date date"))
+    row = activity.key_values(dp, _metrics(spark), Rules(as_of=D(2000, 6, 20))).collect()[0]
+    assert (row.all_sum, row.all_objects, row.avician) == (8 + 4 + 1, 4, 1)
+    with pytest.raises(Exception, match="duplicate key in metric relation deal_count"):
+        activity.key_values(dp, _metrics(spark, "deal_count"), Rules(as_of=D(2000, 6, 20))).collect()
