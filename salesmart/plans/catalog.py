@@ -17,9 +17,6 @@ from salesmart.rules import DEFAULT_RULES, Rules
 from salesmart.sources.fixtures import shared_fixtures
 from salesmart.sources.snapshot import daily_personnel_history, key_values_day_filter, snapshot_day_filter
 
-CUTOFF = dt.date(2000, 1, 1)
-
-
 class Inputs:
     """Domain relations for one test-data directory, optionally restricted to an earlier state."""
 
