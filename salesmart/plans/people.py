@@ -29,6 +29,8 @@ def daily_personnel(users: DataFrame, calendar: DataFrame, rules: Rules = DEFAUL
 
 # --- P7 head count ----------------------------------------------------------
 
+MAX_MONTH_LABELS = 100_000   # distinct tenure months listed by the head count (12 per year of start dates)
+
 def _headcount_conditions(rules: Rules):
     dept, pos, office = F.col("department"), F.col("position"), F.col("office")
     tenure = F.col("tenure")
@@ -86,7 +88,10 @@ def operational_headcount(users: DataFrame, rules: Rules = DEFAULT_RULES) -> Dat
         *[(F.sum(names[label]) if empty_null else F.coalesce(F.sum(names[label]), F.lit(0))).alias(names[label])
           for label, (_, empty_null) in fixed.items()])
     buckets = F.array(*[entry(F.lit(label), F.col(names[label])) for label in fixed])
-    rows = level2.select(F.explode(F.concat(F.col("monthly"), buckets)).alias("r"))
+    # One entry per distinct tenure month (bounded by the calendar); the bound is checked in the plan.
+    monthly_list = F.when(F.size("monthly") <= MAX_MONTH_LABELS, F.col("monthly")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_MONTH_LABELS} tenure-month labels")))
+    rows = level2.select(F.explode(F.concat(monthly_list, buckets)).alias("r"))
     return rows.select(M.report_date(rules.as_of).alias("date"), "r.users_count", "r.exp")
 
 
