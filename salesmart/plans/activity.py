@@ -40,13 +40,27 @@ RDS_COLUMNS = ["month", "year", "user_id", "full_name", "department", "position"
                "experience", "exp_category", "status", "income", "deal"]
 
 
-def rds_on_5th_day(daily_personnel: DataFrame, accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+def restrict_to(daily_personnel: DataFrame, accounting: DataFrame, only: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Snapshot rows and records of the person-months in ``only`` (user_id, year, month): two semi joins."""
+    keys = only.select(*PERSON_MONTH).distinct()
+    dp = (daily_personnel.withColumns({"_y": F.year("date"), "_m": F.month("date")})
+          .join(keys.select(F.col("user_id").alias("id"), F.col("year").alias("_y"), F.col("month").alias("_m")),
+                ["id", "_y", "_m"], "left_semi").drop("_y", "_m"))
+    recs = (dated_records(accounting).join(keys, PERSON_MONTH, "left_semi").drop(*PERSON_MONTH))
+    return dp, recs
+
+
+def rds_on_5th_day(daily_personnel: DataFrame, accounting: DataFrame, rules: Rules = DEFAULT_RULES,
+                   only: DataFrame | None = None) -> DataFrame:
     """P5: closed income and deal count per person-month and record status for staff on the snapshot day.
 
     Records are summed per (person, year, month, status) before the join, so
     the join sees at most one row per status instead of every record.
     A person-month without records gets one row: status 'no data', zeros.
+    ``only`` restricts the computation to the given person-months.
     """
+    if only is not None:
+        daily_personnel, accounting = restrict_to(daily_personnel, accounting, only)
     closed = F.col("status") == rules.closed_status
     facts = dated_records(accounting).groupBy(*PERSON_MONTH, "status").agg(
         F.sum(F.when(closed, F.col("income")).otherwise(F.lit(0))).alias("income"),

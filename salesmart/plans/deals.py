@@ -105,14 +105,8 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     person-month do not depend on any other person-month.
     """
     if only is not None:
-        keys = only.select(*PERSON_MONTH).distinct()
-        daily_personnel = (daily_personnel.withColumns({"_y": F.year("date"), "_m": F.month("date")})
-                           .join(keys.select(F.col("user_id").alias("id"), F.col("year").alias("_y"),
-                                             F.col("month").alias("_m")), ["id", "_y", "_m"], "left_semi")
-                           .drop("_y", "_m"))
-        accounting = (accounting.withColumns({"user_id": F.col("responsible_id"), "year": F.year("realization_date"),
-                                              "month": F.month("realization_date")})
-                      .join(keys, PERSON_MONTH, "left_semi").drop(*PERSON_MONTH))
+        from salesmart.plans.activity import restrict_to
+        daily_personnel, accounting = restrict_to(daily_personnel, accounting, only)
     # One shuffle by person-month: the UNION's de-duplication is then local and the joins below reuse it.
     staff = (staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
              .repartition(*PERSON_MONTH).distinct())

@@ -250,3 +250,30 @@ def _r1(i: Inputs) -> DataFrame:
     mart_for(base, None).write.partitionBy("year", "month").parquet(target)
     run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for, files_per_batch=1)
     return spark.read.parquet(target).select(*DM_DEALS_COLUMNS)
+
+
+@unit("inc_refresh_rds", _sql("rds_on_5th_day", O.q(O.P5_SELECT, *O.P5_CTES, base=OLD_ACCOUNTING),
+                              O.q(O.P5_SELECT, *O.P5_CTES), P5_COLS))
+def _r1_rds(i: Inputs) -> DataFrame:
+    """The 5th-day report refreshed incrementally from the same file stream; must equal its full upsert (K5)."""
+    from salesmart.plans.activity import RDS_COLUMNS, rds_on_5th_day
+    from salesmart.sources.snapshot import snapshot_day_filter
+    from salesmart.streaming.incremental import run_incremental_refresh, scratch_folder, upsert_on
+
+    spark = i.fx.spark
+    records = i.accounting
+    date = F.col("realization_date")
+    base = records.where(date.isNull() | (date < F.lit(CUTOFF)))
+    landed = records.where(date >= F.lit(CUTOFF))
+    root = scratch_folder(spark, "inc-refresh-rds")
+    landing, staging, target, ckpt = (f"{root}/{n}" for n in ("landing", "staging", "target", "stream-checkpoint"))
+    landed.repartition(4, "responsible_id").write.parquet(landing)
+    snapshot = i.snapshot(snapshot_day_filter(i.rules))
+
+    def mart_for(recs: DataFrame, touched: DataFrame | None) -> DataFrame:
+        return rds_on_5th_day(snapshot, recs, i.rules, only=touched)
+
+    mart_for(base, None).write.partitionBy("year", "month").parquet(target)
+    run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for,
+                            apply=upsert_on(KEYS["rds_on_5th_day"][0]))
+    return spark.read.parquet(target).select(*RDS_COLUMNS)

@@ -1,4 +1,7 @@
-"""Incremental refresh of the salesperson-month deal mart with Structured Streaming.
+"""Incremental refresh of the person-month marts with Structured Streaming.
+
+Shown for the salesperson-month deal mart (P2) and the 5th-day report (P5):
+their rows for a person-month depend on nothing but that person-month.
 
 The staging sync lands new accounting records as files.  A file stream
 (``readStream.parquet``) delivers them in micro-batches; ``foreachBatch``
@@ -57,9 +60,19 @@ def apply_refresh(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
                  insert_only=F.col("s.ata_id").isNull())
 
 
+def upsert_on(keys: list[str]) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
+    """Plain upsert of the fresh rows on ``keys`` (for marts without insert-only rows)."""
+    def apply(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
+        return fresh if current is None else merge(current.select(*fresh.columns), fresh, keys)
+    return apply
+
+
 def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_path: str, target_path: str,
-                       mart_for: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler; ``mart_for(records, touched)`` computes the mart rows of ``touched``."""
+                       mart_for: Callable[[DataFrame, DataFrame], DataFrame],
+                       apply: Callable[[DataFrame | None, DataFrame], DataFrame] = apply_refresh,
+                       partitions: list[str] = PARTITIONS) -> Callable[[DataFrame, int], None]:
+    """foreachBatch handler; ``mart_for(records, touched)`` computes the mart rows of ``touched`` and
+    ``apply(current, fresh)`` gives the new content of their partitions (default: the deal mart's rule)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(staging_path, f"batch_id={batch_id}"))
@@ -67,7 +80,7 @@ def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_pat
         staged = spark.read.schema(base_records.schema).parquet(staging_path).select(*base_records.columns)
         records = base_records.unionByName(staged)
         fresh = mart_for(records, touched)
-        rewrite_partitions(spark, target_path, touched, lambda current: apply_refresh(current, fresh), PARTITIONS)
+        rewrite_partitions(spark, target_path, touched, lambda current: apply(current, fresh), partitions)
 
     return handle
 
@@ -75,11 +88,12 @@ def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_pat
 def run_incremental_refresh(spark: SparkSession, landing_path: str, schema, base_records: DataFrame,
                             staging_path: str, target_path: str, checkpoint_path: str,
                             mart_for: Callable[[DataFrame, DataFrame], DataFrame],
-                            files_per_batch: int = 1) -> None:
+                            files_per_batch: int = 1,
+                            apply: Callable[[DataFrame | None, DataFrame], DataFrame] = apply_refresh) -> None:
     """Drain the landing folder (``availableNow``) through the incremental refresh."""
     feed = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_path))
     query = (feed.writeStream
-             .foreachBatch(make_batch_handler(spark, base_records, staging_path, target_path, mart_for))
+             .foreachBatch(make_batch_handler(spark, base_records, staging_path, target_path, mart_for, apply))
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True)
              .start())
