@@ -38,7 +38,7 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 def null_salt(df: DataFrame, key: str, buckets: int = NULL_SALT_BUCKETS):
     """0 when ``key`` is set, else a bucket of the row's hash (spreads NULL keys over partitions)."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    row_hash = F.expr("xxhash64(*)")   # every column of the row (deterministic, so retried tasks agree)
     return F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0).cast("long"))
 
 def prefixed(df: DataFrame, prefix: str, keep: dict[str, str] | None = None) -> DataFrame:
