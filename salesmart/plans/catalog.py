@@ -45,7 +45,12 @@ class Inputs:
         return getattr(self.fx, name)
 
     def snapshot(self, day_filter=None) -> DataFrame:
-        return daily_personnel_history(self.users, self.fx.calendar, self.rules, day_filter)
+        """The derived snapshot for the wanted days (a lazy plan, built once per fixture, day filter and staff state)."""
+        key = ("snapshot", repr(day_filter), self.users_hired_before)
+        cache = self.fx.plans
+        if key not in cache:
+            cache[key] = daily_personnel_history(self.users, self.fx.calendar, self.rules, day_filter)
+        return cache[key]
 
     # --- marts -----------------------------------------------------------------
     def p1(self) -> DataFrame:

@@ -107,9 +107,12 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     if only is not None:
         from salesmart.plans.activity import restrict_to
         daily_personnel, accounting = restrict_to(daily_personnel, accounting, only)
-    # One shuffle by person-month: the UNION's de-duplication is then local and the joins below reuse it.
-    staff = (staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
-             .repartition(*PERSON_MONTH).distinct())
+    # Each arm is shuffled once by person-month; the union keeps that partitioning, so the UNION's
+    # de-duplication is local and the joins below reuse it.  The snapshot arm's exchange does not depend
+    # on the records, so refreshes over different record sets can share it.
+    staff = (staff_on_snapshot_day(daily_personnel, rules).repartition(*PERSON_MONTH)
+             .unionByName(newcomers(accounting, users, rules).repartition(*PERSON_MONTH))
+             .distinct())
     deals = valid_deals(accounting, deal, objects, bid, rules)
     # The month's earliest deal needs only (date, id) of the records: an
     # aggregate over the filtered records, not over the joined deals.

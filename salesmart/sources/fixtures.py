@@ -149,6 +149,7 @@ class Fixtures:
         self.rules = rules
         self._tables: dict[str, DataFrame] = {}
         self._relations: dict[str, DataFrame] = {}
+        self.plans: dict[tuple, DataFrame] = {}   # derived lazy plans shared by the queries (never data)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
