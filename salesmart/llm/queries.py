@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from salesmart.llm import best_fit_packing, exact_dedup, fingerprints, mixing, quality_fm
+from salesmart.llm import best_fit_packing, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, quality_fm
 
 _MODULES = {
     "op1_best_fit_packing": best_fit_packing,
+    "op2_line_dedup": line_dedup,
     "op5_fingerprints": fingerprints,
+    "op6_ngram_jaccard_join": jaccard_join,
     "op8_quality_classifier": quality_fm,
     "op9_mixing": mixing,
     "op10_exact_dedup": exact_dedup,
