@@ -74,6 +74,31 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(-1))
 
 
+#: Words of 64 bits in a membership bitmap: 2^23 bits, so at most SLOTS rows of 12 bytes are broadcast at any size.
+SLOTS = 1 << 17
+
+
+def marked(rows: DataFrame, key: Column, keys: DataFrame, name: str = "maybe") -> DataFrame:
+    """rows with a boolean column: false where key is surely not in the one column of keys, true where it may be.
+
+    The keys become a bitmap of fixed size, so wide rows can be filtered in their scan without a shuffle, however many
+    keys there are; with very many keys it only lets more rows through. An exact step has to follow.
+    """
+    def slot(x):
+        return F.shiftright(x, 6).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+    def bit(x):
+        return F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+    x = F.xxhash64(keys[keys.columns[0]])
+    bits = keys.select(slot(x).alias("_slot"), bit(x).alias("_bits")).groupBy("_slot").agg(
+        F.bit_or("_bits").alias("_bits"))
+    y = F.xxhash64(key)
+    out = rows.withColumn("_key_slot", slot(y)).withColumn("_key_bit", bit(y))
+    out = out.join(F.broadcast(bits), F.col("_key_slot") == F.col("_slot"), "left")
+    found = F.coalesce(F.col("_bits").bitwiseAND(F.col("_key_bit")) != 0, F.lit(False))
+    return out.select(*rows.columns, found.alias(name))
+
+
 def crosscheck_columns(df: DataFrame, *names: str) -> None:
     """Fail early, with the column's name, where a needed column is missing."""
     missing = [n for n in names if n not in df.columns]

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, lower_ascii, shingle_hashes, small_batches, stage, table, words
+from salesmart.llm.common import crosscheck_columns, lower_ascii, marked, shingle_hashes, small_batches, stage, table, words
 from salesmart.llm.components import components
 
 #: Longest adaptive prefix, frequent tokens ordered last (8 bytes each in a broadcast), their least frequency, and the
@@ -78,7 +78,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, n_gram: int, pct: int) -> DataF
     """The pairs (a, b) whose whole sets reach the similarity; sets are made for the documents concerned only."""
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sets = docs.join(ids, docs["id"] == ids["rep"], "left_semi")
+    ids = stage(ids, "ids")
+    sets = marked(docs, F.col("id"), ids).where("maybe")
     sets = stage(sets.select("id", token_set(F.col("text"), n_gram).alias("s")).where("size(s) > 0"), "sets")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
@@ -167,8 +168,10 @@ def keep_one(docs: DataFrame, n_gram: int = 5, pct: int = 80) -> DataFrame:
     """The rows of docs of the smallest id of each component, with all their columns. Rows without an id stay."""
     found = jaccard_components(docs, n_gram, pct).where("doc_id != component_id").select("doc_id").distinct()
     gone = stage(found.withColumnRenamed("doc_id", "gone"), "gone")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"))
-    return rows.join(gone, rows["key"] == gone["gone"], "left_anti").select("row.*")
+    rows = marked(docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key")), F.col("key"), gone)
+    # only rows that the bitmap marks, most of which go, are shuffled
+    left = rows.where("maybe").hint("merge").join(gone, F.col("key") == F.col("gone"), "left_anti")
+    return rows.where("NOT maybe").select("row.*").unionByName(left.select("row.*"))
 
 
 def query(spark, sf_dir):
