@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import SPACE, crosscheck_columns, stage, table
+from salesmart.llm.common import SPACE, crosscheck_columns, marked, stage, table
 
 #: Code points of the prefix that the second level hashes.
 PREFIX = 64
@@ -34,9 +34,10 @@ def copy_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     lengths = heads.groupBy("len").agg(F.sum("n").alias("n")).where("n > 1").select("len")
     left = (heads.join(lengths, "len", "left_semi").where("n > 1")
             .select(F.xxhash64("len", "head").alias("key")))
-    # level 3: whole texts of surviving groups only
-    wide = rows.withColumn("key", F.xxhash64(F.char_length("body"), F.xxhash64(F.left("body", F.lit(prefix)))))
-    full = wide.join(left, "key", "left_semi").select("doc_id", F.sha2("body", 256).alias("digest"))
+    # level 3: whole texts of surviving groups only, hashed in the scan; a row that a bitmap collision lets through has
+    # no equal digest and goes with the count
+    key = F.xxhash64(F.char_length("body"), F.xxhash64(F.left("body", F.lit(prefix))))
+    full = marked(rows, key, left).where("maybe").select("doc_id", F.sha2("body", 256).alias("digest"))
     return (full.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
             .where("group_size > 1"))
 
