@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from salesmart.llm import best_fit_packing, exact_dedup, fingerprints, jaccard_join, line_dedup, mixing, quality_fm
+from salesmart.llm import best_fit_packing, exact_dedup, fingerprints, jaccard_join, language_crf, lattice_lm, line_dedup, mixing, pii, quality_fm
 
 _MODULES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_line_dedup": line_dedup,
+    "op3_language_id": language_crf,
+    "op4_pii": pii,
     "op5_fingerprints": fingerprints,
     "op6_ngram_jaccard_join": jaccard_join,
+    "op7_lm_scoring": lattice_lm,
     "op8_quality_classifier": quality_fm,
     "op9_mixing": mixing,
     "op10_exact_dedup": exact_dedup,
