@@ -38,6 +38,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     back = spark.read.schema(df.schema).parquet(path)
+    del df  # else its shuffles count as in use
     gc.collect()
     spark._jvm.System.gc()
     return back

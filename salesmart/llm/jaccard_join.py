@@ -5,9 +5,9 @@ smallest id. Two sets of similarity t or more share at least l tokens among thei
 a fixed global order, for every l up to the smaller overlap bound. Each document takes the l that makes its estimated
 candidate cost least: the summed frequency of its prefix tokens (each posting is read once) plus that sum over l times
 its size (at most so many candidates reach l matches, and each is verified in full). A pair is a candidate when it
-shares min(l_x, l_y) prefix tokens.
+shares min(l_x, l_y) prefix tokens and its sets' rests leave room for the similarity.
 
-The global order puts a fixed low share of the hash range first and, inside it, the HOT most frequent tokens last: the
+The global order puts listed frequent tokens last and, of the others, a fixed low share of the hash range first. The
 order may be any, so the bound on the broadcast list of frequent tokens costs time only, never a link. Components need
 not compare all pairs of a large group: crowded buckets first link their members to the bucket's smallest one, and only
 pairs whose members are still apart then are enumerated. All links that join different components are verified
@@ -46,34 +46,56 @@ def token_set(text: Column, n: int) -> Column:
     return F.sort_array(F.array_distinct(shingle_hashes(words(lower_ascii(F.coalesce(text, F.lit("")))), n)))
 
 
-def _least_overlap(n: Column, pct: int) -> Column:
-    return F.floor((n * pct + 99) / 100).cast("int")
 
+def _prefixes(hot: np.ndarray, df: np.ndarray, bound: int, pct: int, whole: bool):
+    """Choose each document's number of matches and cut its prefix.
 
-def _prefixes(hot: np.ndarray, df: np.ndarray, bound: int, pct: int):
-    """Choose each document's number of matches and cut its prefix."""
+    tokens hold a document's set, or, unless ``whole``, its part below the bound. A document that has too few tokens
+    there which aren't frequent is crowded: it gets no prefix, and has to come again with its whole set.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for rep, n, tokens in zip(pdf["rep"], pdf["n"], pdf["tokens"]):
                 t = np.asarray(tokens, np.int64)
-                at = np.minimum(np.searchsorted(hot, t), max(len(hot) - 1, 0))
-                is_hot = (hot[at] == t) if len(hot) else np.zeros(len(t), bool)
-                order = np.lexsort((t, is_hot, t >= bound))
-                t, is_hot = t[order], is_hot[order]
-                freq = np.where(is_hot, df[at[order]], 1) if len(hot) else np.ones(len(t))
+                freq = np.ones(len(t))
+                if len(hot):
+                    at = np.minimum(np.searchsorted(hot, t), len(hot) - 1)
+                    freq = np.where(hot[at] == t, df[at], 1)
+                order = np.lexsort((t, t >= bound, freq > 1))
+                t, freq = t[order], freq[order]
                 least = (n * pct + 99) // 100
+                most = min(MAX_MATCHES, least)
+                if not whole and np.count_nonzero((freq == 1) & (t < bound)) < n - least + most:
+                    out.append((rep, n, None, None, True))
+                    continue
                 read = np.cumsum(freq)
                 costs = []
-                for m in range(1, min(MAX_MATCHES, least) + 1):
-                    s = read[min(n - least + m, len(t)) - 1]
+                for m in range(1, most + 1):
+                    s = read[n - least + m - 1]
                     costs.append((s * READ_COST + s / m * n * VERIFY_COST, m))
                 m = min(costs)[1]
-                out.append((rep, n, m, t[:n - least + m]))
-            yield pd.DataFrame(out, columns=["rep", "n", "m", "prefix"])
+                out.append((rep, n, m, t[:n - least + m], False))
+            yield pd.DataFrame(out, columns=["rep", "n", "m", "prefix", "crowded"])
     return run
 
 
+def _frequent(tokens: DataFrame) -> pd.DataFrame:
+    """The HOT most frequent of the tokens (a column token) that HOT_DF sets have, sorted by token."""
+    df = tokens.groupBy("token").count().where(F.col("count") >= HOT_DF)
+    return df.orderBy(F.desc("count"), "token").limit(HOT).toPandas().sort_values("token", ignore_index=True)
+
+
+def _may_reach(shared, na, pa, nb, pb, pct: int) -> Column:
+    """Whether two sets of na and nb tokens that share so many of their pa and pb prefix tokens can be near enough.
+
+    Of the common tokens, those up to the prefix end that comes first in the order are all shared prefix tokens; the
+    others are at most the rest of that set.
+    """
+    overlap = shared + F.greatest(na - pa, nb - pb)
+    return (100 + pct) * overlap >= pct * (na + nb)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, n_gram: int, pct: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity; sets are made for the documents concerned only."""
     pairs = stage(pairs, "pairs")
@@ -97,10 +119,8 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     bound = int(-(1 << 63) + low * (1 << 64)) if low < 1 else (1 << 63) - 1
     rows = docs.select("id", token_set(F.col("text"), n_gram).alias("s"))
     rows = rows.select("id", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.hash("s", F.lit(n_gram)).alias("k2"),
-                       F.filter("s", lambda t: t < bound).alias("low"), "s")
-    longest = F.col("n") - _least_overlap(F.col("n"), pct) + MAX_MATCHES
-    tokens = F.when(F.size("low") >= longest, F.col("low")).otherwise(F.slice("s", 1, F.greatest(longest, F.lit(1))))
-    rows = stage(rows.select("id", "n", "k1", "k2", tokens.alias("tokens")), "rows")
+                       F.filter("s", lambda t: t < bound).alias("low"))
+    rows = stage(rows.select("id", "n", "k1", "k2", F.col("low").alias("tokens")), "rows")
 
     # classes of equal sets; only their smallest ids go on
     keys = ["n", "k1", "k2"]
@@ -109,15 +129,23 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
                      & (rows["k1"] == classes["k1"]) & (rows["k2"] == classes["k2"]))
     reps = reps.select("rep", rows["n"], "tokens").dropDuplicates(["rep", "n"])
 
-    # frequent tokens: a list of bounded length
-    df = reps.select(F.explode("tokens").alias("token")).where(F.col("token") < bound).groupBy("token").count()
-    hot = (df.where(F.col("count") >= HOT_DF).orderBy(F.desc("count"), "token").limit(HOT).toPandas()
-           .sort_values("token"))
-    prefixes = reps.mapInPandas(
-        _prefixes(hot["token"].to_numpy(np.int64), hot["count"].to_numpy(np.int64), bound, pct),
-        "rep long, n int, m int, prefix array<long>")
-    prefixes = stage(prefixes, "prefixes")
-    posts = prefixes.select("rep", "n", "m", F.explode("prefix").alias("token"))
+    # frequent tokens come last in the order. First they are counted in the low share of the hash range; only documents
+    # that have too few other tokens there are read again, and the frequent tokens of their whole sets added
+    schema = "rep long, n int, m int, prefix array<long>, crowded boolean"
+    hot = _frequent(reps.select(F.explode("tokens").alias("token")))
+    cut = stage(reps.mapInPandas(_prefixes(hot["token"].to_numpy(np.int64), hot["count"].to_numpy(np.int64), bound, pct,
+                                           False), schema), "cut")
+    crowd = stage(cut.where("crowded").select("rep", "n"), "crowd")
+    again = marked(docs, F.col("id"), crowd.select("rep")).where("maybe")
+    again = again.select("id", token_set(F.col("text"), n_gram).alias("tokens")).join(
+        crowd, (F.col("id") == F.col("rep")) & (F.size("tokens") == F.col("n")))
+    again = stage(again.select("rep", "n", "tokens").dropDuplicates(["rep", "n"]), "again")
+    hot = pd.concat([_frequent(again.select(F.explode("tokens").alias("token"))), hot]).drop_duplicates("token").sort_values("token")
+    second = again.mapInPandas(_prefixes(hot["token"].to_numpy(np.int64), hot["count"].to_numpy(np.int64), bound, pct, True),
+                               schema)
+    prefixes = stage(cut.where("NOT crowded").unionByName(second).drop("crowded").withColumn("p", F.size("prefix")),
+                     "prefixes")
+    posts = prefixes.select("rep", "n", "m", "p", F.explode("prefix").alias("token"))
 
     # crowded buckets of like sizes: every member against the smallest one
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / pct))).cast("int")
@@ -126,10 +154,12 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     heads = stage(heads.where(F.col("members") >= CROWDED).drop("members"), "heads")
     star = (sized.join(heads, ["token", "band"]).where("a != rep").groupBy("a", F.col("rep").alias("b"))
             .agg(F.count("*").alias("shared")).select("a", "b"))
-    side = prefixes.select(F.col("rep").alias("a"), F.col("m").alias("ma"), F.col("prefix").alias("pa"))
-    other = prefixes.select(F.col("rep").alias("b"), F.col("m").alias("mb"), F.col("prefix").alias("pb"))
-    star = (stage(star, "star").join(side, "a").join(other, "b")
-            .where(F.size(F.array_intersect("pa", "pb")) >= F.least("ma", "mb")).select("a", "b"))
+    side = prefixes.select(F.col("rep").alias("a"), F.col("m").alias("ma"), F.col("n").alias("na"), F.col("prefix").alias("xa"))
+    other = prefixes.select(F.col("rep").alias("b"), F.col("m").alias("mb"), F.col("n").alias("nb"), F.col("prefix").alias("xb"))
+    star = stage(star, "star").join(side, "a").join(other, "b")
+    star = star.withColumn("shared", F.size(F.array_intersect("xa", "xb")))
+    star = star.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
+        F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b")
     first = stage(_verified(star, docs, n_gram, pct), "first")
     labels = components(first)
 
@@ -144,13 +174,15 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
                             f"AND 100 * y.hi >= {pct} * x.lo"))
     meet = meet.select("x.token", F.col("x.label").alias("la"), F.col("y.label").alias("lb"))
     one = posts.select("token", F.col("label").alias("la"), F.col("rep").alias("a"), F.col("n").alias("na"),
-                       F.col("m").alias("ma"))
+                       F.col("m").alias("ma"), F.col("p").alias("pa"))
     two = posts.select("token", F.col("label").alias("lb"), F.col("rep").alias("b"), F.col("n").alias("nb"),
-                       F.col("m").alias("mb"))
+                       F.col("m").alias("mb"), F.col("p").alias("pb"))
     pairs = meet.join(one, ["token", "la"]).join(two, ["token", "lb"])
     pairs = pairs.where(f"100 * na >= {pct} * nb AND 100 * nb >= {pct} * na")
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("ma").alias("ma"), F.first("mb").alias("mb"))
-    pairs = pairs.where(F.col("shared") >= F.least("ma", "mb")).select("a", "b")
+    # ids of one text have one size and prefix, so these are constant in a pair
+    pairs = pairs.groupBy("a", "b", "na", "nb", "pa", "pb", "ma", "mb").agg(F.count("*").alias("shared"))
+    pairs = pairs.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
+        F.col("shared"), F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), pct)).select("a", "b").distinct()
     links = first.unionByName(_verified(pairs, docs, n_gram, pct))
     # an id that stands for several texts ties their classes together
     many = rows.where("n > 0 AND id IS NOT NULL").join(classes, keys).where("id != rep")
