@@ -147,6 +147,8 @@ def _expected(model: Lattice):
 def adapt(model: Lattice, counts: DataFrame, n_docs: int, rounds: int = ROUNDS, prior: float = PRIOR) -> Lattice:
     """Expectation-maximisation over the word counts; what comes back is one number per vocabulary piece."""
     first = model
+    # the count table is small in bytes and dear in work: it is dealt to as many tasks as a shuffle has
+    counts = counts.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for _ in range(rounds):
         got = counts.mapInPandas(_expected(model), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         n = {r.piece: r.n for r in got.collect()}
