@@ -29,8 +29,6 @@ def daily_personnel(users: DataFrame, calendar: DataFrame, rules: Rules = DEFAUL
 
 # --- P7 head count ----------------------------------------------------------
 
-MAX_MONTH_LABELS = 100_000   # distinct tenure months listed by the head count (12 per year of start dates)
-
 def _headcount_conditions(rules: Rules):
     dept, pos, office = F.col("department"), F.col("position"), F.col("office")
     tenure = F.col("tenure")
@@ -67,9 +65,9 @@ def operational_headcount(users: DataFrame, rules: Rules = DEFAULT_RULES) -> Dat
 
     One scan of ``users``: rows are grouped by their monthly label (NULL when
     outside the monthly bucket) with one conditional count per role bucket
-    (partial aggregation map-side).  A second, global aggregate over those few
-    groups sums the buckets and lists the monthly labels (at most one per
-    tenure month), and one ``explode`` turns the result into rows.  Buckets
+    (partial aggregation map-side).  Rows with a monthly label are result rows as
+    they are; a second, global aggregate sums the buckets into one row that an
+    ``explode`` of the fixed bucket list turns into rows.  Buckets
     overlap, so each is counted on its own.  Sum-style buckets give NULL when
     empty, count-style buckets 0; an empty monthly label gives no row.
     """
@@ -83,15 +81,12 @@ def operational_headcount(users: DataFrame, rules: Rules = DEFAULT_RULES) -> Dat
           for label, (cond, empty_null) in fixed.items()])
     entry = lambda exp, n: F.struct(exp.alias("exp"), n.cast("long").alias("users_count"))
     level2 = level1.agg(
-        F.collect_list(F.when(F.col("month_label").isNotNull(),
-                              entry(F.col("month_label"), F.col("month_count")))).alias("monthly"),
         *[(F.sum(names[label]) if empty_null else F.coalesce(F.sum(names[label]), F.lit(0))).alias(names[label])
           for label, (_, empty_null) in fixed.items()])
     buckets = F.array(*[entry(F.lit(label), F.col(names[label])) for label in fixed])
-    # One entry per distinct tenure month (bounded by the calendar); the bound is checked in the plan.
-    monthly_list = F.when(F.size("monthly") <= MAX_MONTH_LABELS, F.col("monthly")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_MONTH_LABELS} tenure-month labels")))
-    rows = level2.select(F.explode(F.concat(monthly_list, buckets)).alias("r"))
+    months = level1.where(F.col("month_label").isNotNull()).select(
+        entry(F.col("month_label"), F.col("month_count")).alias("r"))
+    rows = months.unionByName(level2.select(F.explode(buckets).alias("r")))
     return rows.select(M.report_date(rules.as_of).alias("date"), "r.users_count", "r.exp")
 
 

@@ -9,10 +9,13 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from salesmart.oracle_registry import oracle_sql
+from salesmart.plans import catalog
 from salesmart.sources.fixtures import TEST_TABLES
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES = catalog.queries()
+SQL = oracle_sql()
 
 
 def canon(v):
