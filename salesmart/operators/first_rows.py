@@ -44,16 +44,12 @@ def flag_first_in_group(df: DataFrame, keys: list[str], order_cols: list[str], f
               .drop(FIRST))
 
 
-def flag_global_first(df: DataFrame, order_cols: list[str], flag: str, materialize: bool = True) -> DataFrame:
+def flag_global_first(df: DataFrame, order_cols: list[str], flag: str) -> DataFrame:
     """Add ``flag`` = 1 on the single row with the smallest order key of the whole frame.
 
-    The frame is read twice (rows, minimum); with ``materialize`` it is first
-    written once as a reliable checkpoint to ``spark.checkpoint.dir`` so the
-    work behind it is not repeated.
+    The minimum is a lazy scalar subquery, so building the plan starts no job.
+    Give every column in ``order_cols`` where keys can tie: one row is flagged, and
+    the subquery then shares the exchanges of the rows' own plan.
     """
-    if materialize:
-        from salesmart.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
     top = df.agg(F.min(order_key(order_cols)).alias(FIRST)).scalar()
     return df.withColumn(flag, F.coalesce(order_key(order_cols).eqNullSafe(top).cast("int"), F.lit(0)))

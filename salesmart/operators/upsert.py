@@ -1,22 +1,20 @@
-"""Upsert into plain parquet tables (the marts' ``INSERT ... ON CONFLICT``).
+"""Upsert into versioned parquet tables (the marts' ``INSERT ... ON CONFLICT``).
 
 ``merge`` is the pure part: a full outer join of target and source on the
 conflict key.  Source rows replace the update columns of matching target rows,
 new keys are inserted, target-only rows are kept, nothing is deleted.
 
-``upsert_table`` is the write path: it reads only the target partitions the
-source touches (partition filter / dynamic partition pruning), merges them,
-cuts the lineage with a reliable checkpoint (so the write never reads the
-files it replaces), and rewrites only those partitions with dynamic partition
-overwrite.  Re-running the same upsert gives the same table, so a job lost
-halfway is repaired by running it again.
+``upsert_table`` is the write path.  A table is a folder of version folders
+(``operators.versioned``): the touched partitions are written into a new one,
+and one new manifest file publishes them all at once.  No live file is ever
+overwritten or removed, so a job that fails at any point leaves the table as
+it was, and running it again gives the full result.
 
 ``insert_if_absent`` is ``INSERT ... WHERE NOT EXISTS``: a left anti join.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.operators import versioned as V
+
 ACTION = "upsert_action"
 _S, _T = "_src_present", "_tgt_present"
 
@@ -105,52 +105,30 @@ class UpsertResult:
         return self.inserted + self.updated
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame,
-                       build: Callable[[DataFrame | None], DataFrame], partition_cols: list[str],
+def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
+                       combine: Callable[[DataFrame | None, DataFrame], DataFrame], partition_cols: list[str],
                        observe: tuple[Observation, list[Column]] | None = None,
-                       before_write: Callable[[DataFrame], None] | None = None) -> DataFrame:
-    """Replace the partitions named by ``touched`` with ``build(current rows of those partitions)``.
-
-    Only the touched partitions are read (NULL-safe semi join on the
-    partition columns, so Spark prunes the others).  The new content is
-    checkpointed to ``spark.checkpoint.dir`` before the write, so the write
-    never reads the files it replaces, and written with dynamic partition
-    overwrite: untouched partitions are not rewritten.  Returns the staged
-    (checkpointed) content, which may carry extra bookkeeping columns that
-    are dropped before writing if they start with ``upsert_``.  ``observe``
-    (an ``Observation`` and its metric columns) is evaluated during the write;
-    ``before_write`` may inspect the staged content and raise to stop the write.
+                       check: Callable[[DataFrame], None] | None = None) -> int:
+    """Replace the partitions that ``source`` has rows in with ``combine(current rows of those, source)``.
+
+    The source is computed once, into a staging folder laid out like the
+    table, so the touched partitions are its folders and only the table's
+    files of the same partitions are read.  ``check`` may inspect the staged
+    rows and raise.  Columns whose names start with ``upsert_`` are
+    bookkeeping and are not stored; ``observe`` (an ``Observation`` and its
+    metric columns) is evaluated during the write.  Returns the number of
+    partitions rewritten.
     """
-    from salesmart.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    if _exists(spark, path):
-        current = spark.read.parquet(path)
-        if partition_cols:
-            t = current.alias("t")
-            p = touched.select(*partition_cols).distinct().alias("p")
-            cond = reduce(lambda a, b: a & b, [F.col("t." + c).eqNullSafe(F.col("p." + c)) for c in partition_cols])
-            current = t.join(p, cond, "left_semi")
-    else:
-        current = None
-    staged = build(current).checkpoint(eager=True)
-    if before_write is not None:
-        before_write(staged)
-    out = staged if observe is None else staged.observe(observe[0], *observe[1])
-    out = out.drop(*[c for c in staged.columns if c.startswith("upsert_")])
-    if partition_cols:
-        # AQE-balanced write: small partitions share a task, a large one is split over several.
-        out = out.hint("rebalance", *partition_cols)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    writer.parquet(path)
-    return staged
+    staged, touched, folder = V.stage(spark, path, source, partition_cols)
+    if check is not None:
+        check(staged)
+    out = combine(V.read_partitions(spark, path, touched), staged)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
+    out = out.drop(*[c for c in out.columns if c.startswith("upsert_")])
+    published = V.publish(spark, path, out, partition_cols)
+    V.discard(spark, folder)
+    return published
 
 
 def keep_by_precedence(df: DataFrame, keys: list[str], precedence: list[str]) -> DataFrame:
@@ -168,40 +146,32 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
                  partition_cols: list[str] | None = None, update_cols: list[str] | None = None,
                  nulls_distinct: bool = False, precedence: list[str] | None = None,
                  rebuild: bool = False) -> UpsertResult:
-    """Upsert ``source`` into the parquet table at ``path``, rewriting only touched partitions.
+    """Upsert ``source`` into the table at ``path``, rewriting only touched partitions.
 
     Duplicate source keys raise ``DuplicateKeyError`` (before anything is
-    written) unless ``precedence`` names the columns that choose the
-    surviving row.  ``rebuild`` ignores the
-    current content of the touched partitions (a fresh write of them).  The
-    inserted / updated / kept counts are observed during the write itself.
+    written) unless ``precedence`` names the columns that choose the surviving
+    row; with ``nulls_distinct`` only keys without NULL parts can repeat.
+    ``rebuild`` ignores the current content of the touched partitions (a fresh
+    write of them).  The inserted / updated / kept counts are observed during
+    the write itself.
     """
     partition_cols = list(partition_cols or [])
     if precedence:
         source = keep_by_precedence(source, keys, precedence)
 
-    def before_write(staged: DataFrame) -> None:
-        # Target keys are unique, so the merged rows repeat a key exactly when the source does.
-        # Checked on the staged (materialized) rows: the source is not computed a second time.
-        if not precedence and not nulls_distinct:
-            check_unique(staged, keys)
+    def check(staged: DataFrame) -> None:
+        if not precedence:
+            check_unique(staged.dropna(subset=keys) if nulls_distinct else staged, keys)
 
-    def build(current: DataFrame | None) -> DataFrame:
+    def combine(current: DataFrame | None, staged: DataFrame) -> DataFrame:
         if current is None or rebuild:
-            return source.withColumn(ACTION, F.lit("inserted"))
-        return merge(current.select(*source.columns), source, keys, update_cols, nulls_distinct, with_action=True)
+            return staged.withColumn(ACTION, F.lit("inserted"))
+        return merge(current.select(*staged.columns), staged, keys, update_cols, nulls_distinct, with_action=True)
 
     obs = Observation("upsert")
     a = F.col(ACTION)
-    staged = rewrite_partitions(spark, path, source, build, partition_cols, observe=(obs, [
+    n_parts = rewrite_partitions(spark, path, source, combine, partition_cols, observe=(obs, [
         F.count(F.when(a == "inserted", 1)).alias("inserted"), F.count(F.when(a == "updated", 1)).alias("updated"),
-        F.count(F.when(a == "kept", 1)).alias("kept")]), before_write=before_write)
+        F.count(F.when(a == "kept", 1)).alias("kept")]), check=check)
     stats = obs.get
-    n_parts = staged.select(*partition_cols).distinct().count() if partition_cols else 1
     return UpsertResult(stats["inserted"], stats["updated"], stats["kept"], n_parts)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder under the session's checkpoint directory (shared storage on a cluster)."""
-    from salesmart.session import ensure_checkpoint_dir
-    return os.path.join(ensure_checkpoint_dir(spark), name)

@@ -99,23 +99,32 @@ def _traffic_measures(rules: Rules) -> list:
     ]
 
 
+RECORD_LABELS = ["realization_date", "ata_id", "status", "contract_id", "contract_name", "deal_type"]
+RECORD_MONEY = ["income", "payment"]
+
+
+def _summed_records(records: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per record with its labels: the money of a repeated record id is added up."""
+    return records.groupBy(*keys, *RECORD_LABELS).agg(*[F.sum(c).alias(c) for c in RECORD_MONEY])
+
+
 def traffic_arm_snapshot(daily_personnel: DataFrame, accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """P4 arm A: each snapshot person-month with each of its records, or one empty row.
 
-    The first row of each person-month (earliest date, then record id) is
-    flagged; the minimum is an aggregate over the records (combined
-    map-side), joined back on the same keys.
+    The first row of each person-month (earliest date, then record id, then
+    the labels) is flagged; the minimum is an aggregate over the summed records
+    (combined map-side), joined back on the same keys.  It carries all their
+    columns, so both reads of the sums share one exchange.
     """
-    rec_cols = ["ata_id", "status", "realization_date", "contract_id", "contract_name", "deal_type", "income", "payment"]
-    records = dated_records(accounting).select(*PERSON_MONTH, F.col("id").alias("ata_id"), *rec_cols[1:])
+    rec_cols = RECORD_LABELS + RECORD_MONEY
+    records = _summed_records(dated_records(accounting).withColumnRenamed("id", "ata_id"), PERSON_MONTH)
     staff = snapshot_staff(daily_personnel, rules).select(
         F.year("date").alias("year"), F.month("date").alias("month"), F.col("id").alias("user_id"),
         "full_name", "department", "position", "is_active", "experience")
-    first = group_minimum(records, PERSON_MONTH, ["realization_date", "ata_id"])
+    first = group_minimum(records, PERSON_MONTH, rec_cols)
     staff_first = staff.join(first, PERSON_MONTH, "left")
     with_records = staff_first.join(records, PERSON_MONTH, "inner").select(
-        *staff.columns, *rec_cols,
-        F.struct("realization_date", "ata_id").eqNullSafe(F.col(FIRST)).cast("int").alias("is_first_occurrence"))
+        *staff.columns, *rec_cols, F.struct(*rec_cols).eqNullSafe(F.col(FIRST)).cast("int").alias("is_first_occurrence"))
     without = staff_first.where(F.col(FIRST).isNull()).select(
         *staff.columns, *[F.lit(None).cast(records.schema[c].dataType).alias(c) for c in rec_cols],
         F.lit(1).alias("is_first_occurrence"))
@@ -130,33 +139,26 @@ def traffic_arm_newcomers(accounting: DataFrame, users: DataFrame, rules: Rules
     Exactly one row of the whole arm is flagged: the smallest (person, date,
     record), found by a scalar-subquery minimum instead of a global window.
     """
-    rec_cols = ["status", "realization_date", "contract_id", "contract_name", "deal_type", "income", "payment"]
     starts = M.start_month_keys(users, [F.col("position").alias("u_position"), F.col("is_active").alias("u_is_active")])
-    fresh = accounting.where((F.col("company") == rules.home_company) & (F.col("office") != rules.rental_office)
-                             & F.col("realization_date").isNotNull())
-    fresh = fresh.select(F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
-                         F.month("realization_date").alias("month"), "responsible_name", "team",
-                         F.col("id").alias("ata_id"), *rec_cols)
+    fresh = accounting.where((F.col("company") == rules.home_company) & (F.col("office") != rules.rental_office))
+    fresh = _summed_records(dated_records(fresh).withColumnRenamed("id", "ata_id"),
+                            [*PERSON_MONTH, "responsible_name", "team"])
     # Tenure 0 at the record = the record's month is the start month: an equi-join on (person, year, month).
     arm = fresh.join(starts, PERSON_MONTH, "inner").select(
         "month", "year", "user_id",
         F.col("responsible_name").alias("full_name"), F.col("team").alias("department"),
         F.col("u_position").alias("position"), F.col("u_is_active").alias("is_active"),
         F.lit(0).alias("experience"), *_traffic_measures(rules))
-    return flag_global_first(arm, ["user_id", "realization_date", "ata_id"], "is_first_occurrence")
+    order = ["user_id", "realization_date", "ata_id"]
+    return flag_global_first(arm, order + [c for c in arm.columns if c not in order], "is_first_occurrence")
 
 
 def traffic_light_1m(daily_personnel: DataFrame, accounting: DataFrame, users: DataFrame,
                      rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Snapshot person-months with their records (arm A) plus newcomers' records (arm B), distinct.
-
-    The UNION's de-duplication runs after one shuffle by the table's conflict
-    key (month, year, user, record): the distinct is then local to each
-    partition, and the upsert's join on the same key can reuse the layout.
-    """
+    """Snapshot person-months with their records (arm A) plus newcomers' records (arm B), distinct."""
     arm_a = traffic_arm_snapshot(daily_personnel, accounting, rules).select(*TRAFFIC_COLUMNS)
     arm_b = traffic_arm_newcomers(accounting, users, rules).select(*TRAFFIC_COLUMNS)
-    return arm_a.unionByName(arm_b).repartition("month", "year", "user_id", "ata_id").distinct()
+    return arm_a.unionByName(arm_b).distinct()
 
 
 # --- P6 -------------------------------------------------------------------------

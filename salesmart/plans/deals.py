@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import measures as M
@@ -55,18 +55,23 @@ def staff_on_snapshot_day(daily_personnel: DataFrame, rules: Rules = DEFAULT_RUL
              "experience", "company", F.year("date").alias("year"), F.month("date").alias("month"))
 
 
+def deal_months(accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Person-months with a closed deal and the smallest (date, record id) of each: one aggregate, combined map-side."""
+    records = home_sales_records(accounting, rules).select(
+        F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
+        F.month("realization_date").alias("month"), "realization_date", F.col("id").alias("ata_id"))
+    return group_minimum(records, PERSON_MONTH, ["realization_date", "ata_id"])
+
+
 def newcomers(accounting: DataFrame, users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """People with a closed deal in the month they started (tenure 0 at the deal).
 
-    Records are first reduced to distinct (person, year, month), combined
-    map-side; "started that month" is then an equi-join on (person, year,
+    "Started that month" is an equi-join of the deal months on (person, year,
     month) with the people's start months, so only newcomer months come out
     and one person's records spread over their months.
     """
-    months = (home_sales_records(accounting, rules)
-              .select(F.col("responsible_id").alias("user_id"),
-                      F.year("realization_date").alias("year"), F.month("realization_date").alias("month"))
-              .distinct())
+    # the test on FIRST, which is never null here, keeps its column, so that all readers of the aggregate share its exchange
+    months = deal_months(accounting, rules).where(F.col(FIRST).isNotNull())
     starts = M.start_month_keys(users, ["full_name", "department", "position", "is_active", "company"])
     return (months.join(starts, PERSON_MONTH, "inner")
                   .select("user_id", "full_name", "department", "position", "is_active",
@@ -78,17 +83,21 @@ def valid_deals(accounting: DataFrame, deal: DataFrame, objects: DataFrame, bid:
                 rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Closed home-company deals with their property type (contract name as fallback).
 
-    Repartitioned once by (user, year, month): the de-duplication, the
-    first-deal minimum and the join with staff all reuse that partitioning.
+    Rows are distinct with their contract name, which the result leaves out:
+    two records that differ only there stay two.  The distinct deals its rows by
+    all columns, so a busy person-month spreads over the tasks.
     """
     records = home_sales_records(accounting, rules).select(
         "realization_date", F.year("realization_date").alias("year"), F.month("realization_date").alias("month"),
-        F.col("responsible_id").alias("user_id"), "income", F.col("id").alias("ata_id"),
-        "contract_name", "status", "deal_id")
+        F.col("responsible_id").alias("user_id"), "income", F.col("id").alias("ata_id"), "contract_name", "deal_id")
     typed = with_property_type(records, deal, objects, bid, out="object_property")
-    deals = typed.select("realization_date", "year", "month", "user_id", "income", "ata_id",
-                         F.coalesce("object_property", "contract_name").alias("property_type"))
-    return deals.repartition(*PERSON_MONTH).dropDuplicates()
+    return typed.drop("deal_id").distinct().select(
+        "realization_date", "year", "month", "user_id", "income", "ata_id",
+        F.coalesce("object_property", "contract_name").alias("property_type"))
+
+
+def _month_number() -> Column:
+    return F.col("year") * 12 + F.col("month")
 
 
 def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accounting: DataFrame, deal: DataFrame,
@@ -107,28 +116,18 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     if only is not None:
         from salesmart.plans.activity import restrict_to
         daily_personnel, accounting = restrict_to(daily_personnel, accounting, only)
-    # Each arm is shuffled once by person-month; the union keeps that partitioning, so the UNION's
-    # de-duplication is local and the joins below reuse it.  The snapshot arm's exchange does not depend
-    # on the records, so refreshes over different record sets can share it.
-    staff = (staff_on_snapshot_day(daily_personnel, rules).repartition(*PERSON_MONTH)
-             .unionByName(newcomers(accounting, users, rules).repartition(*PERSON_MONTH))
-             .distinct())
+    staff = (staff_on_snapshot_day(daily_personnel, rules)
+             .unionByName(newcomers(accounting, users, rules)).distinct())
     deals = valid_deals(accounting, deal, objects, bid, rules)
-    # The month's earliest deal needs only (date, id) of the records: an
-    # aggregate over the filtered records, not over the joined deals.
-    first = group_minimum(
-        home_sales_records(accounting, rules).select(
-            F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
-            F.month("realization_date").alias("month"), "realization_date", F.col("id").alias("ata_id")),
-        PERSON_MONTH, ["realization_date", "ata_id"])
-    # One LEFT JOIN of staff with the per-month minimum (at most one row per
-    # key, so no skew); both branches below read that same subtree, so its
-    # shuffles are computed once and reused.  Deal rows come from an inner join
-    # on the aligned keys; months whose minimum is missing have no deals.
-    staff_first = staff.join(first, PERSON_MONTH, "left")
+    # Months without a minimum have no deals.  The two branches read the same subtree of staff and minimum.
+    staff_first = staff.join(deal_months(accounting, rules), PERSON_MONTH, "left")
+    # The deals join on (person, month number): other keys than those staff_first is laid out by, so both sides come
+    # from a shuffle of their own and AQE can split a busy person-month.
+    by_month = staff_first.withColumn("_n", _month_number())
+    deals = deals.withColumn("_n", _month_number()).drop("year", "month")
     is_first = F.struct("realization_date", "ata_id").eqNullSafe(F.col(FIRST))
     valid_first = is_first & F.col("property_type").isNotNull() & ~M.is_rental_text("property_type", rules)
-    with_deals = staff_first.join(deals, PERSON_MONTH, "inner").select(
+    with_deals = by_month.join(deals, ["user_id", "_n"], "inner").select(
         *staff.columns, "realization_date", "income", "ata_id", "property_type",
         F.when(valid_first, 1).otherwise(0).alias("is_first_valid_deal"))
     without = staff_first.where(F.col(FIRST).isNull()).select(

@@ -8,9 +8,10 @@ runs them in dependency order (``refresh_all``): personnel first, then the
 deal mart, then its aggregate, then the rest.
 
 Table layout (partition columns chosen so that each refresh rewrites few):
-daily_personnel by date; the monthly marts by (year, month); the sales report,
-head count and HR tables unpartitioned (aggregates bounded by dates x types,
-buckets, people: small, rewritten whole).
+daily_personnel and the head count by date; the monthly marts by (year, month);
+the sales report and HR tables unpartitioned (aggregates bounded by dates x
+types and by people: small, written anew as a whole). Every write is published
+in one step (``operators.versioned``).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.upsert import UpsertResult, check_unique, rewrite_partitions, upsert_table
+from salesmart.operators.versioned import read_table
 from salesmart.plans import activity, deals, people
 from salesmart.rules import DEFAULT_RULES, Rules
 from salesmart.streaming.incremental import apply_refresh
@@ -35,7 +37,7 @@ TABLES = {
     "traffic_light_1m": (["month", "year", "user_id", "ata_id"], ["year", "month"], None),
     "rds_on_5th_day": (["month", "year", "user_id", "status"], ["year", "month"], None),
     "key_values": (["month", "year", "id"], ["year", "month"], None),
-    "operational_headcount_report": (["date", "exp"], [], ["users_count"]),
+    "operational_headcount_report": (["date", "exp"], ["date"], ["users_count"]),
     "operational_sales_report": (["realization_date", "property_type"], [], ["income", "deals_count"]),
     "hr_employee_analytics": (["id"], [], None),
 }
@@ -51,7 +53,7 @@ class Warehouse:
         return os.path.join(self.root, table)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        return read_table(spark, self.path(table))
 
 
 @dataclass
@@ -87,10 +89,8 @@ def refresh_dm_sales_staff_deals(spark: SparkSession, wh: Warehouse, st: Staging
     fresh = deals.dm_sales_staff_deals(_snapshot(spark, wh), st.users, st.accounting, st.deal, st.objects, st.bid,
                                        rules)
     keys, parts, _ = TABLES["dm_sales_staff_deals"]
-    staged = rewrite_partitions(spark, wh.path("dm_sales_staff_deals"), fresh,
-                                lambda current: apply_refresh(current, fresh), parts,
-                                before_write=lambda rows: check_unique(rows.where(F.col("ata_id").isNotNull()), keys))
-    return staged.select(*parts).distinct().count()
+    return rewrite_partitions(spark, wh.path("dm_sales_staff_deals"), fresh, apply_refresh, parts,
+                              check=lambda rows: check_unique(rows.where(F.col("ata_id").isNotNull()), keys))
 
 
 def refresh_sales_staff_agg_income(spark: SparkSession, wh: Warehouse) -> UpsertResult:

@@ -231,6 +231,7 @@ def _r1(i: Inputs) -> DataFrame:
     """Target after an incremental refresh: mart on records before the cut-off, then the later records
     arrive as a file stream in several micro-batches.  Must equal the full refresh (K2 + K10)."""
     from salesmart.plans.deals import DM_DEALS_COLUMNS, dm_sales_staff_deals
+    from salesmart.operators.versioned import publish, read_table
     from salesmart.sources.snapshot import snapshot_day_filter
     from salesmart.streaming.incremental import run_incremental_refresh, scratch_folder
 
@@ -241,15 +242,15 @@ def _r1(i: Inputs) -> DataFrame:
     landed = records.where(date >= F.lit(CUTOFF))
     root = scratch_folder(spark, "inc-refresh")
     landing, staging, target, ckpt = (f"{root}/{n}" for n in ("landing", "staging", "target", "stream-checkpoint"))
-    landed.repartition(4, "responsible_id").write.parquet(landing)
+    landed.write.parquet(landing)
     snapshot = i.snapshot(snapshot_day_filter(i.rules))
 
     def mart_for(recs: DataFrame, touched: DataFrame | None) -> DataFrame:
         return dm_sales_staff_deals(snapshot, i.users, recs, i.fx.deal, i.fx.objects, i.fx.bid, i.rules, only=touched)
 
-    mart_for(base, None).write.partitionBy("year", "month").parquet(target)
-    run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for, files_per_batch=1)
-    return spark.read.parquet(target).select(*DM_DEALS_COLUMNS)
+    publish(spark, target, mart_for(base, None), ["year", "month"])
+    run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for)
+    return read_table(spark, target).select(*DM_DEALS_COLUMNS)
 
 
 @unit("inc_refresh_rds", _sql("rds_on_5th_day", O.q(O.P5_SELECT, *O.P5_CTES, base=OLD_ACCOUNTING),
@@ -257,6 +258,7 @@ def _r1(i: Inputs) -> DataFrame:
 def _r1_rds(i: Inputs) -> DataFrame:
     """The 5th-day report refreshed incrementally from the same file stream; must equal its full upsert (K5)."""
     from salesmart.plans.activity import RDS_COLUMNS, rds_on_5th_day
+    from salesmart.operators.versioned import publish, read_table
     from salesmart.sources.snapshot import snapshot_day_filter
     from salesmart.streaming.incremental import run_incremental_refresh, scratch_folder, upsert_on
 
@@ -267,13 +269,13 @@ def _r1_rds(i: Inputs) -> DataFrame:
     landed = records.where(date >= F.lit(CUTOFF))
     root = scratch_folder(spark, "inc-refresh-rds")
     landing, staging, target, ckpt = (f"{root}/{n}" for n in ("landing", "staging", "target", "stream-checkpoint"))
-    landed.repartition(4, "responsible_id").write.parquet(landing)
+    landed.write.parquet(landing)
     snapshot = i.snapshot(snapshot_day_filter(i.rules))
 
     def mart_for(recs: DataFrame, touched: DataFrame | None) -> DataFrame:
         return rds_on_5th_day(snapshot, recs, i.rules, only=touched)
 
-    mart_for(base, None).write.partitionBy("year", "month").parquet(target)
+    publish(spark, target, mart_for(base, None), ["year", "month"])
     run_incremental_refresh(spark, landing, records.schema, base, staging, target, ckpt, mart_for,
                             apply=upsert_on(KEYS["rds_on_5th_day"][0]))
-    return spark.read.parquet(target).select(*RDS_COLUMNS)
+    return read_table(spark, target).select(*RDS_COLUMNS)

@@ -80,7 +80,7 @@ def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_pat
         staged = spark.read.schema(base_records.schema).parquet(staging_path).select(*base_records.columns)
         records = base_records.unionByName(staged)
         fresh = mart_for(records, touched)
-        rewrite_partitions(spark, target_path, touched, lambda current: apply(current, fresh), partitions)
+        rewrite_partitions(spark, target_path, fresh, apply, partitions)
 
     return handle
 
@@ -88,10 +88,19 @@ def make_batch_handler(spark: SparkSession, base_records: DataFrame, staging_pat
 def run_incremental_refresh(spark: SparkSession, landing_path: str, schema, base_records: DataFrame,
                             staging_path: str, target_path: str, checkpoint_path: str,
                             mart_for: Callable[[DataFrame, DataFrame], DataFrame],
-                            files_per_batch: int = 1,
+                            files_per_batch: int | None = None, bytes_per_batch: str | None = None,
                             apply: Callable[[DataFrame | None, DataFrame], DataFrame] = apply_refresh) -> None:
-    """Drain the landing folder (``availableNow``) through the incremental refresh."""
-    feed = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing_path))
+    """Drain the landing folder (``availableNow``) through the incremental refresh.
+
+    All waiting files form one micro-batch unless ``files_per_batch`` (Spark's
+    ``maxFilesPerTrigger``) or ``bytes_per_batch`` (``maxBytesPerTrigger``, such as "64g") bounds it.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    feed = reader.parquet(landing_path)
     query = (feed.writeStream
              .foreachBatch(make_batch_handler(spark, base_records, staging_path, target_path, mart_for, apply))
              .option("checkpointLocation", checkpoint_path)

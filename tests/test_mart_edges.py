@@ -118,6 +118,17 @@ def test_traffic_newcomer_arm_flags_exactly_one_row(spark):
     assert sorted((r.ata_id, r.is_first_occurrence) for r in out) == [(20, 0), (21, 0), (22, 1)]
 
 
+def test_traffic_sums_a_repeated_record_id(spark):
+    users = spark.createDataFrame([user(spark, 1), user(spark, 2, start=D(2000, 3, 1))], USERS)
+    dp = daily_personnel_history(users.where("id = 1"), spark.createDataFrame([(D(2000, 3, 5),)], "date date"))
+    recs = spark.createDataFrame([record(10, 1, D(2000, 3, 10), None, income="100.00"),
+                                  record(10, 1, D(2000, 3, 10), None, income="50.00"),
+                                  record(20, 2, D(2000, 3, 10), None, income="7.00"),
+                                  record(20, 2, D(2000, 3, 10), None, income="7.00")], ACCOUNTING)
+    out = activity.traffic_light_1m(dp, recs, users).collect()
+    assert sorted((r.ata_id, str(r.income), r.is_first_occurrence) for r in out) == [(10, "150.00", 1), (20, "14.00", 1)]
+
+
 def _metrics(spark, dup_name=None):
     out = {}
     for name, (key, value, _out) in activity.DATED_METRIC_COLUMNS.items():
