@@ -201,27 +201,10 @@ def _m_exp_category_rds(i: Inputs) -> DataFrame:
 
 # Per-person membership of the overlapping head-count buckets (P7's conditions).
 def _headcount_sql() -> str:
-    t = O.md(A, START)
-    sales = f"office <> {O.RENTAL} AND (department ILIKE 'Команда%' OR department IN ('Отдел коммерческой недвижимости'))"
-    agents = (f"{sales} AND position IN ('Эксперт по недвижимости', 'Специалист по недвижимости', "
-              "'Специалист отдела коммерческой недвижимости')")
-    rent = f"office = {O.RENTAL}"
-    spec = f"{rent} AND position = 'Специалист по аренде недвижимости'"
-    conds = [
-        f"{agents} AND {t} > 24", f"{agents} AND {t} BETWEEN 7 AND 12", f"{agents} AND {t} BETWEEN 13 AND 24",
-        f"{sales} AND position = 'Менеджер отдела продаж'",
-        f"{sales} AND position IN ('Помощник специалиста', 'Помощник менеджера')",
-        f"office <> {O.RENTAL} AND position = 'Старший агент по недвижимости'",
-        f"office <> {O.RENTAL} AND position = 'Агент по недвижимости'",
-        ("department NOT ILIKE 'Команда%' AND department NOT IN ('Отдел коммерческой недвижимости', 'Декрет', "
-         f"'Группа 0', 'Технические аккаунты') AND office <> {O.RENTAL} AND position NOT IN ('Помощник специалиста', 'Помощник менеджера')"),
-        f"{rent} AND position = 'Менеджер отдела аренды'", f"{rent} AND position = 'Помощник специалиста'",
-        f"{rent} AND position IN ('Администратор', 'Руководитель')",
-        f"{spec} AND {t} > 6", f"{spec} AND {t} BETWEEN 0 AND 3", f"{spec} AND {t} BETWEEN 4 AND 6",
-    ]
-    cols = ", ".join(f"COALESCE({c}, FALSE) AS b{n}" for n, c in enumerate(conds))
-    return O.q(f"SELECT id, CASE WHEN {agents} AND {t} < 7 THEN CAST({_i(t)} AS VARCHAR) END AS month_label, {cols} "
-               f"FROM users WHERE company = {O.HOME} AND is_active = TRUE")
+    flags = ", ".join(f"COALESCE(bool_or(m.label = '{label}'), FALSE) AS b{n}" for n, label in enumerate(O.BUCKETS))
+    return O.q(f"SELECT u.id, CAST(ANY_VALUE(f.t) AS VARCHAR) AS month_label, {flags} FROM users u "
+               "LEFT JOIN member m ON m.id = u.id LEFT JOIN fresh f ON f.id = u.id "
+               f"WHERE u.is_active AND u.company = {O.HOME} GROUP BY u.id", *O.p7_ctes())
 
 
 @unit("m_headcount_bucket", _headcount_sql())
@@ -278,26 +261,18 @@ _acct_measure("m_default_fills", lambda: [M.fill("contract_id", 1).alias("contra
 
 # --- 2.4 joins ----------------------------------------------------------------------
 
-_STAR_SELECT = (f"SELECT {_i('month(dp.date)')} AS month, {_i('year(dp.date)')} AS year, dp.id, "
-                "COALESCE(cdd.deals, 0) AS nvstr, COALESCE(ec.count, 0) AS exclusives, COALESCE(dc.deals, 0) AS deals, "
-                "COALESCE(mcl.leads, 0) AS mortgage_leads, COALESCE(mcc.leads, 0) AS mortgage_consult, "
-                "COALESCE(ao.objects_count, 0) AS all_objects, COALESCE(mo.objects_count, 0) AS new_objects, "
-                "COALESCE(cco.cost_change_count, 0) AS cost_change_count, COALESCE(bbc.bids, 0) AS bids, "
-                "COALESCE(atc.ads_count, 0) AS ads_count, COALESCE(atc.avito_count, 0) AS avito_count, "
-                "COALESCE(atc.cian_count, 0) AS cian_count, COALESCE(atc.yandex_count, 0) AS yandex_count, "
-                "COALESCE(atc.domclick_count, 0) AS domclick_count, "
-                f"CAST({O._KV_SUM} AS BIGINT) AS all_sum, COALESCE(atc.avician_count, 0) AS avician "
-                f"{O._KV_FROM} WHERE day(dp.date) = 5")
+_STAR_PEOPLE = f"SELECT id, {O.month_of('date')} AS ym, {O.MONTH.format('date')}, {O.YEAR.format('date')} FROM daily_personnel WHERE day(date) = 5"
+_STAR_SELECT = O.pivoted(_STAR_PEOPLE, ["month", "year", "id"])
 
 
-@unit("join_metric_star", O.q(_STAR_SELECT))
+@unit("join_metric_star", O.q(_STAR_SELECT, *O.metric_ctes()))
 def _join_metric_star(i: Inputs) -> DataFrame:
     people = i.snapshot(snapshot_day_filter()).where(F.dayofmonth("date") == 5).select(
         F.month("date").alias("month"), F.year("date").alias("year"), "id")
     return activity.attach_metrics(people, i.metrics())
 
 
-@unit("m_all_sum", O.q(f"SELECT month, year, id, all_sum FROM ({_STAR_SELECT}) s"))
+@unit("m_all_sum", O.q(f"SELECT month, year, id, all_sum FROM ({_STAR_SELECT}) s", *O.metric_ctes()))
 def _m_all_sum(i: Inputs) -> DataFrame:
     return _join_metric_star(i).select("month", "year", "id", "all_sum")
 
@@ -324,7 +299,7 @@ def _join_fk_chain(i: Inputs) -> DataFrame:
                     F.col("b_object_type").alias("bid_type"))
 
 
-@unit("join_person_month", O.q("SELECT user_id, year, month, ata_id, realization_date, property_type FROM swd", *O.P2_CTES[:5]))
+@unit("join_person_month", O.q("SELECT user_id, year, month, ata_id, realization_date, property_type FROM dm", *O.P2_CTES))
 def _join_person_month(i: Inputs) -> DataFrame:
     staff = deals.staff_on_snapshot_day(i.snapshot(snapshot_day_filter())) \
         .unionByName(deals.newcomers(i.accounting, i.users)).distinct()
@@ -462,13 +437,13 @@ def _win_first_deal(i: Inputs) -> DataFrame:
         .select("user_id", "ata_id", "is_first")
 
 
-@unit("win_first_occurrence", O.q("SELECT month, year, user_id, ata_id, is_first_occurrence FROM arm_a", *O.P4_CTES[:1]))
+@unit("win_first_occurrence", O.q("SELECT month, year, user_id, ata_id, is_first_occurrence FROM arm_a", *O.P4_CTES))
 def _win_first_occurrence(i: Inputs) -> DataFrame:
     return activity.traffic_arm_snapshot(i.snapshot(snapshot_day_filter()), i.accounting).select(
         "month", "year", "user_id", "ata_id", "is_first_occurrence")
 
 
-@unit("win_global_first", O.q("SELECT user_id, realization_date, ata_id, is_first_occurrence FROM arm_b", *O.P4_CTES[1:2]))
+@unit("win_global_first", O.q("SELECT user_id, realization_date, ata_id, is_first_occurrence FROM arm_b", *O.P4_CTES))
 def _win_global_first(i: Inputs) -> DataFrame:
     return activity.traffic_arm_newcomers(i.accounting, i.users).select(
         "user_id", "realization_date", "ata_id", "is_first_occurrence")
@@ -476,7 +451,7 @@ def _win_global_first(i: Inputs) -> DataFrame:
 
 # --- 2.8 set operations ----------------------------------------------------------
 
-@unit("set_union_staff", O.q("SELECT * FROM all_staff", *O.P2_CTES[:3]))
+@unit("set_union_staff", O.q("SELECT * EXCLUDE (ym) FROM crew", *O.P2_CTES))
 def _set_union_staff(i: Inputs) -> DataFrame:
     return deals.staff_on_snapshot_day(i.snapshot(snapshot_day_filter())) \
         .unionByName(deals.newcomers(i.accounting, i.users)).distinct()
