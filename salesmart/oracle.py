@@ -42,7 +42,7 @@ SELECT c.date, u.id, u.full_name, u.company, u.department, u.position, {start} A
  CAST(COALESCE({md('c.date', 'u.deactivation_date')}, 0) AS INTEGER) AS deactivation_period,
  CAST({md('c.date', start)} AS INTEGER) AS experience, u.gender, u.birth_date,
  CAST(ROUND(CAST({md('c.date', 'u.birth_date')} AS DECIMAL(10,0)) / 12, 2) AS DECIMAL(10,2)) AS age
-FROM users u CROSS JOIN calendar c WHERE {where}"""
+FROM users u JOIN presence c ON c.id = u.id WHERE {where}"""
 
 
 def base_ctes(as_of: dt.date = AS_OF, accounting_before: dt.date | None = None,

@@ -14,18 +14,17 @@ KPI_GROUP = ["year", "month", "full_name", "department", "position", "company",
 
 def department_heads(users: DataFrame) -> DataFrame:
     """Entitlements derived from the staff table: each head may see the rows of their own department."""
-    return users.where(F.col("position") == R.RENTAL_ADMIN_POSITIONS[1]).select(
-        F.col("id").alias("viewer_id"), "department")
+    return users.where(F.col("position") == R.HEAD_POSITION).select(F.col("id").alias("viewer_id"), "department")
 
 
-def row_level_filter(mart: DataFrame, entitlements: DataFrame, column: str = "department") -> DataFrame:
-    """Rows of ``mart`` each viewer may see: an equi-join with the (viewer_id, column) entitlement table.
+def row_level_filter(mart: DataFrame, entitlements: DataFrame, viewers: DataFrame, column: str = "department") -> DataFrame:
+    """Rows of ``mart`` that at least one of ``viewers`` (viewer_id) may see, each once: semi joins with their
+    entitlements (viewer_id, column), so the result never has more rows than the mart.
 
-    A viewer sees a row when the row's ``column`` equals an entitled value;
-    rows with a NULL value are visible to nobody.  For one viewer this is a
-    semi join; for all viewers at once the join output is (viewer, row).
+    Usually ``viewers`` is the one person who opened a report.  Rows with a NULL value are visible to nobody.
     """
-    return entitlements.join(mart, column, "inner").select("viewer_id", *mart.columns)
+    granted = entitlements.join(viewers, "viewer_id", "left_semi").select(column).distinct()
+    return mart.join(granted, column, "left_semi").select(*mart.columns)
 
 
 def drilldown(kpi: DataFrame, deals: DataFrame, group: list[str] = KPI_GROUP) -> DataFrame:

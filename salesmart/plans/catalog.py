@@ -49,7 +49,7 @@ class Inputs:
         key = ("snapshot", repr(day_filter), self.users_hired_before)
         cache = self.fx.plans
         if key not in cache:
-            cache[key] = daily_personnel_history(self.users, self.fx.calendar, self.rules, day_filter)
+            cache[key] = daily_personnel_history(self.users, self.fx.presence, self.rules, day_filter)
         return cache[key]
 
     # --- marts -----------------------------------------------------------------

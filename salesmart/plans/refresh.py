@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from salesmart.operators.upsert import UpsertResult, check_unique, rewrite_partitions, upsert_table
 from salesmart.operators.versioned import read_table
 from salesmart.plans import activity, deals, people
-from salesmart.rules import DEFAULT_RULES, Rules
+from salesmart.rules import Rules
 from salesmart.streaming.incremental import apply_refresh
 
 # table -> (conflict key, partition columns, update columns or None for all non-key columns)
@@ -74,7 +74,7 @@ def _upsert(spark: SparkSession, wh: Warehouse, table: str, rows: DataFrame) ->
     return upsert_table(spark, wh.path(table), rows, keys, parts, update)
 
 
-def update_daily_personnel(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules = DEFAULT_RULES) -> UpsertResult:
+def update_daily_personnel(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "daily_personnel", people.daily_personnel(st.users, st.calendar, rules))
 
 
@@ -84,7 +84,7 @@ def _snapshot(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 
 def refresh_dm_sales_staff_deals(spark: SparkSession, wh: Warehouse, st: Staging,
-                                 rules: Rules = DEFAULT_RULES) -> int:
+                                 rules: Rules) -> int:
     """Deal rows are upserted, empty person-month rows inserted where absent; returns partitions rewritten."""
     fresh = deals.dm_sales_staff_deals(_snapshot(spark, wh), st.users, st.accounting, st.deal, st.objects, st.bid,
                                        rules)
@@ -98,37 +98,37 @@ def refresh_sales_staff_agg_income(spark: SparkSession, wh: Warehouse) -> Upsert
                    deals.sales_staff_agg_income(wh.read(spark, "dm_sales_staff_deals")))
 
 
-def update_traffic_light_1m(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules = DEFAULT_RULES) -> UpsertResult:
+def update_traffic_light_1m(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "traffic_light_1m",
                    activity.traffic_light_1m(_snapshot(spark, wh), st.accounting, st.users, rules))
 
 
-def update_rds_on_5th_day(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules = DEFAULT_RULES) -> UpsertResult:
+def update_rds_on_5th_day(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "rds_on_5th_day", activity.rds_on_5th_day(_snapshot(spark, wh), st.accounting, rules))
 
 
-def update_key_values(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules = DEFAULT_RULES) -> int:
+def update_key_values(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules) -> int:
     """Returns the number of rows inserted or updated, as the source system's refresh does."""
     return _upsert(spark, wh, "key_values", activity.key_values(_snapshot(spark, wh), st.metrics, rules)).row_count
 
 
 def update_operational_headcount(spark: SparkSession, wh: Warehouse, st: Staging,
-                                 rules: Rules = DEFAULT_RULES) -> UpsertResult:
+                                 rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "operational_headcount_report", people.operational_headcount(st.users, rules))
 
 
 def update_operational_sales_report(spark: SparkSession, wh: Warehouse, st: Staging,
-                                    rules: Rules = DEFAULT_RULES) -> UpsertResult:
+                                    rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "operational_sales_report",
                    deals.operational_sales_report(st.accounting, st.deal, st.objects, st.users, st.bid, rules))
 
 
 def update_hr_employee_analytics(spark: SparkSession, wh: Warehouse, st: Staging,
-                                 rules: Rules = DEFAULT_RULES) -> UpsertResult:
+                                 rules: Rules) -> UpsertResult:
     return _upsert(spark, wh, "hr_employee_analytics", people.hr_employee_analytics(st.users, rules))
 
 
-def refresh_all(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules = DEFAULT_RULES) -> dict:
+def refresh_all(spark: SparkSession, wh: Warehouse, st: Staging, rules: Rules) -> dict:
     """All refreshes in dependency order: snapshot, deal mart, its aggregate, then the independent marts."""
     out = {"daily_personnel": update_daily_personnel(spark, wh, st, rules)}
     out["dm_sales_staff_deals"] = refresh_dm_sales_staff_deals(spark, wh, st, rules)

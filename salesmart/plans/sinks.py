@@ -87,7 +87,7 @@ _DP_OLD_DAYS = f"date IN ({O.d(O.AS_OF - dt.timedelta(days=2))}, {O.d(O.AS_OF)})
 
 def _old_dp(i: Inputs) -> DataFrame:
     days = F.col("date").isin(O.AS_OF - dt.timedelta(days=2), O.AS_OF)
-    return daily_personnel_history(i.users, i.fx.calendar, i.rules, days)
+    return daily_personnel_history(i.users, i.fx.presence, i.rules, days)
 
 
 def _merge(target: str, old: DataFrame, new: DataFrame, with_action: bool = False) -> DataFrame:
@@ -199,11 +199,12 @@ def _k9(i: Inputs) -> DataFrame:
 # --- README-level features: drill-down, row-level security, incremental sync ---------
 
 @unit("row_level_filter", O.q(
-    "SELECT h.viewer_id, k.* FROM (SELECT id AS viewer_id, department FROM users WHERE position = 'Руководитель') h "
-    f"JOIN ({O.P3_SELECT}) k ON h.department = k.department", *O.P2_CTES))
+    f"SELECT * FROM ({O.P3_SELECT}) WHERE department IN (SELECT department FROM users WHERE position = 'Руководитель')",
+    *O.P2_CTES))
 def _r2(i: Inputs) -> DataFrame:
     from salesmart.plans.access import department_heads, row_level_filter
-    return row_level_filter(i.p3(), department_heads(i.users))
+    heads = department_heads(i.users)
+    return row_level_filter(i.p3(), heads, viewers=heads.select("viewer_id"))
 
 
 _DRILL_ON = " AND ".join(f"k.{c} IS NOT DISTINCT FROM d.{c}" for c in

@@ -50,7 +50,9 @@ unit("src_daily_personnel", O.q("SELECT * FROM daily_personnel"))(lambda i: i.sn
 
 _METRIC_LONG_SQL = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS metric, CAST({key} AS BIGINT) AS person_id, year, month, CAST({value} AS BIGINT) AS value FROM {name}"
-    for name, (key, value, _out) in activity.DATED_METRIC_COLUMNS.items())
+    for name, (key, value, _out) in activity.DATED_METRIC_COLUMNS.items()) + "".join(
+    f"\nUNION ALL\nSELECT '{name}', responsible_id, NULL, NULL, {value} FROM {rel}"
+    for name, (rel, value) in O.STANDING.items())
 
 
 @unit("src_metrics", O.q(_METRIC_LONG_SQL))
@@ -58,6 +60,11 @@ def _src_metrics(i: Inputs) -> DataFrame:
     parts = [i.fx.relation(name).select(F.lit(name).alias("metric"), F.col(key).cast("long").alias("person_id"),
                                         "year", "month", F.col(value).cast("long").alias("value"))
              for name, (key, value, _out) in activity.DATED_METRIC_COLUMNS.items()]
+    standing = activity.undated_metrics(i.metrics())
+    for name in ("all_objects", *activity.AD_COLUMNS, "avician"):
+        parts.append(standing.where(F.col(name).isNotNull()).select(
+            F.lit(name).alias("metric"), F.col("id").alias("person_id"), F.lit(None).cast("int").alias("year"),
+            F.lit(None).cast("int").alias("month"), F.col(name).cast("long").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -57,6 +57,7 @@ AGE_BANDS = ("18–25", "26–35", "36–45", "46–55", "56+")
 EXP_BANDS_HR = ("0-6", "07-12", "13-24", "25+")
 EXP_BANDS_RDS = ("24+", "13-24", "07-12", "03-06")
 SNAPSHOT_DAY = 5
+HEAD_POSITION = "Руководитель"
 NEWCOMER_LOOKBACK_DAYS = 2
 RETENTION_MONTHS = 5
 NO_BIRTHDAY = 9999
@@ -67,7 +68,7 @@ NO_BIRTHDAY = 9999
 class Rules:
     """Parameters of one refresh.  ``as_of`` replaces every ``now()`` of a run."""
 
-    as_of: dt.date = dt.date(2000, 6, 20)
+    as_of: dt.date
     home_company: str = HOME_COMPANY
     company_prefix: str = COMPANY_FAMILY_PREFIX
     rental_office: str = RENTAL_OFFICE
@@ -76,14 +77,11 @@ class Rules:
     snapshot_day: int = SNAPSHOT_DAY
     newcomer_lookback_days: int = NEWCOMER_LOOKBACK_DAYS
     retention_months: int = RETENTION_MONTHS
-    # Upper bound on the number of snapshot days expanded in one job.  The
-    # snapshot is (people x days); the day list is attached to every person,
-    # so its size must stay bounded (200 years of days).
-    max_snapshot_days: int = 73_000
 
     @property
     def rental_pattern(self) -> str:
         return f"%{self.rental_word}%"
 
 
-DEFAULT_RULES = Rules()
+#: The run date of the test data. Refresh jobs take no default: they are given the rules of their run.
+DEFAULT_RULES = Rules(as_of=dt.date(2000, 6, 20))

@@ -6,7 +6,7 @@ same text runs in Spark (``spark.sql`` with DataFrame arguments, no global
 views) and in DuckDB (the oracle), so both engines see identical inputs.
 
 Placeholders: ``{customer}``, ``{orders}``, ``{part}``, ``{supplier}``,
-``{events}`` name test tables; ``@AS_OF@`` and ``@AS_OF_MINUS_2@`` are the
+``{events}``, ``{lineitem}`` name test tables; ``@AS_OF@`` and ``@AS_OF_MINUS_2@`` are the
 refresh clock.  The texts are fixture definitions, not mart logic.
 """
 
@@ -52,10 +52,11 @@ SELECT o_orderkey AS id, o_custkey AS responsible_id, 'Resp ' || CAST(o_custkey
 """
 
 DEAL_SQL = """
-SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 250 END AS object_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 15 END AS bid_id,
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE l.part END AS object_id, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE l.supp END AS bid_id,
  CASE WHEN o_orderkey % 4 = 0 THEN 'От застройщика' ELSE 'Вторичка' END AS deal_type,
  CASE WHEN o_orderkey % 12 = 0 THEN 'Риелторское агентство Города' WHEN o_orderkey % 8 = 4 THEN NULL ELSE 'СтройДом' END AS developer,
- CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'Комната' WHEN 2 THEN NULL ELSE 'Квартира' END AS object_type FROM {orders}
+ CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'Комната' WHEN 2 THEN NULL ELSE 'Квартира' END AS object_type
+ FROM {orders} LEFT JOIN (SELECT l_orderkey, MIN(l_partkey) AS part, MIN(l_suppkey) AS supp FROM {lineitem} GROUP BY l_orderkey) l ON l_orderkey = o_orderkey
 """
 
 OBJECTS_SQL = """
@@ -70,17 +71,25 @@ CALENDAR_SQL = """
 SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) + 4 AS date FROM {orders} UNION SELECT DATE '@AS_OF_MINUS_2@' UNION SELECT DATE '@AS_OF@'
 """
 
+# Days on which each person is on the books: the 5th of the months they have orders in and of the month after, and the
+# two days a refresh looks at. It grows with the orders, not with people times days.
+PRESENCE_SQL = """
+SELECT o_custkey AS id, CAST(date_trunc('month', o_orderdate) AS DATE) + 4 AS date FROM {orders}
+UNION SELECT o_custkey, CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE) + 4 FROM {orders}
+UNION SELECT c_custkey, DATE '@AS_OF_MINUS_2@' FROM {customer} UNION SELECT c_custkey, DATE '@AS_OF@' FROM {customer}
+"""
+
 # Eight dated metric relations: (person key, year, month, value) = count of kept orders.
 # name -> (person key column, value column, predicate over orders)
 DATED_METRICS = {
-    "count_developer_deals": ("responsible_id", "deals", "o_orderkey % 4 = 0"),
+    "count_developer_deals": ("responsible_id", "deals", "o_orderpriority = '2-HIGH'"),
     "exclusive_contract": ("agent_id", "count", "o_orderpriority = '1-URGENT'"),
     "deal_count": ("agents_id", "deals", "o_orderstatus = 'F'"),
-    "mortgage_count_leads": ("id", "leads", "o_orderkey % 6 = 1"),
-    "mortgage_consult_count": ("id", "leads", "o_orderkey % 6 = 2"),
-    "monthly_objects": ("responsible_id", "objects_count", "o_orderkey % 5 = 0"),
-    "cost_change_objects": ("responsible_id", "cost_change_count", "o_orderkey % 7 = 3"),
-    "bid_buy_count": ("id", "bids", "o_orderkey % 8 = 5"),
+    "mortgage_count_leads": ("id", "leads", "o_orderpriority = '3-MEDIUM'"),
+    "mortgage_consult_count": ("id", "leads", "o_orderpriority = '4-NOT SPECIFIED'"),
+    "monthly_objects": ("responsible_id", "objects_count", "o_orderstatus = 'O'"),
+    "cost_change_objects": ("responsible_id", "cost_change_count", "o_orderpriority = '5-LOW'"),
+    "bid_buy_count": ("id", "bids", "o_orderstatus = 'P'"),
 }
 
 DATED_METRIC_SQL = """
@@ -90,7 +99,7 @@ GROUP BY o_custkey, CAST(EXTRACT(YEAR FROM o_orderdate) AS INT), CAST(EXTRACT(MO
 """
 
 ACTUAL_OBJECTS_SQL = """
-SELECT c_custkey AS responsible_id, c_nationkey AS objects_count FROM {customer} WHERE c_custkey % 3 = 0
+SELECT c_custkey AS responsible_id, c_nationkey AS objects_count FROM {customer}
 """
 
 AD_TABLES_COUNT_SQL = """
@@ -101,17 +110,18 @@ SELECT user_id AS responsible_id,
  COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS yandex_count,
  COUNT(CASE WHEN event_type = 'signup' THEN 1 END) AS domclick_count,
  COUNT(CASE WHEN event_type IN ('view', 'click') THEN 1 END) AS avician_count
-FROM {events} WHERE user_id % 2 = 0 GROUP BY user_id
+FROM {events} GROUP BY user_id
 """
 
 # relation name -> (SQL text, test tables it reads)
 RELATIONS: dict[str, tuple[str, tuple[str, ...]]] = {
     "users": (USERS_SQL, ("customer",)),
     "accounting": (ACCOUNTING_SQL, ("orders",)),
-    "deal": (DEAL_SQL, ("orders",)),
+    "deal": (DEAL_SQL, ("orders", "lineitem")),
     "objects": (OBJECTS_SQL, ("part",)),
     "bid": (BID_SQL, ("supplier",)),
     "calendar": (CALENDAR_SQL, ("orders",)),
+    "presence": (PRESENCE_SQL, ("orders", "customer")),
     "actual_objects": (ACTUAL_OBJECTS_SQL, ("customer",)),
     "ad_tables_count": (AD_TABLES_COUNT_SQL, ("events",)),
 }

@@ -3,14 +3,9 @@
 In production the snapshot is a stored table partitioned by ``date``, one
 partition per daily run of the personnel mart, and readers prune it with
 ``dayofmonth(date) = 5`` or ``date = d``.  For the test data it is derived
-from ``users`` and the ``calendar`` dimension: each person once per calendar
-day, with that day as the clock.
-
-The expansion attaches the list of wanted days to every person and explodes
-it: no join and no shuffle.  The day list is a bounded dimension (one entry
-per calendar day, checked against ``Rules.max_snapshot_days`` inside the
-plan), never a data-sized set.  Callers pass the day filter they need so the
-list is cut before the expansion.
+from ``users`` and the days each of them is on the books (``presence``): one
+row per person and such day, with that day as the clock.  Callers pass the day
+filter they need, which cuts the days before the join.
 """
 
 from __future__ import annotations
@@ -45,23 +40,11 @@ def company_family(users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     return users.where(F.col("company").like(rules.company_prefix + "%"))
 
 
-def snapshot_days(calendar: DataFrame, day_filter: Column | None, rules: Rules = DEFAULT_RULES) -> Column:
-    """The wanted calendar days as one sorted array (a scalar subquery), size-checked in the plan."""
-    days = calendar if day_filter is None else calendar.where(day_filter)
-    listed = days.agg(F.array_sort(F.collect_set("date")).alias("days"))
-    checked = listed.select(
-        F.when(F.size("days") <= rules.max_snapshot_days, F.col("days"))
-         .otherwise(F.raise_error(F.lit(f"snapshot day list exceeds {rules.max_snapshot_days} days")))
-         .alias("days"))
-    return checked.scalar()
-
-
-def daily_personnel_history(users: DataFrame, calendar: DataFrame, rules: Rules = DEFAULT_RULES,
+def daily_personnel_history(users: DataFrame, presence: DataFrame, rules: Rules = DEFAULT_RULES,
                             day_filter: Column | None = None) -> DataFrame:
-    """``daily_personnel`` for every (wanted) calendar day, each day its own clock."""
-    people = company_family(users, rules)
-    dated = people.withColumn("date", F.explode(snapshot_days(calendar, day_filter, rules)))
-    return personnel_projection(dated, F.col("date"), F.col("date"))
+    """``daily_personnel`` of each person's (wanted) days in ``presence`` (id, date), each day its own clock."""
+    days = presence if day_filter is None else presence.where(day_filter)
+    return personnel_projection(company_family(users, rules).join(days, "id"), F.col("date"), F.col("date"))
 
 
 def snapshot_day_filter(rules: Rules = DEFAULT_RULES) -> Column:

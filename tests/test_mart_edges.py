@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from salesmart.plans import activity, deals, people
 from salesmart.rules import Rules
-from salesmart.sources.snapshot import daily_personnel_history
+from salesmart.sources import snapshot
 
 D = dt.date
 USERS = ("id bigint, full_name string, company string, office string, department string, position string, "
@@ -16,6 +16,11 @@ ACCOUNTING = ("id bigint, responsible_id bigint, responsible_name string, team s
 HOME = "Города Новосибирск"
 
 
+def daily_personnel_history(users, calendar):
+    """Everyone present on every day of a small calendar."""
+    return snapshot.daily_personnel_history(users, users.select("id").crossJoin(calendar))
+
+
 def user(spark, uid, name="A", office="Продажа", start=D(1999, 1, 10), active=True, position="Эксперт по недвижимости",
          department="Команда 1", company=HOME):
     return (uid, name, company, office, department, position, start, start, active, None, "ж", D(1980, 1, 1))

@@ -7,6 +7,7 @@ from conftest import SF_SMALL
 from salesmart.operators.upsert import upsert_table
 from salesmart.plans import refresh as RF
 from salesmart.plans.catalog import Inputs
+from salesmart.rules import DEFAULT_RULES
 from salesmart.sources.snapshot import daily_personnel_history
 
 
@@ -20,8 +21,8 @@ def refreshed(spark, tmp_path_factory):
     wh = RF.Warehouse(str(tmp_path_factory.mktemp("warehouse")))
     st = RF.Staging(i.users, i.calendar, i.accounting, i.deal, i.objects, i.bid, i.metrics())
     keys, parts, _ = RF.TABLES["daily_personnel"]
-    upsert_table(spark, wh.path("daily_personnel"), daily_personnel_history(i.users, i.calendar), keys, parts)  # backfill
-    first = RF.refresh_all(spark, wh, st)
+    upsert_table(spark, wh.path("daily_personnel"), daily_personnel_history(i.users, i.presence), keys, parts)  # backfill
+    first = RF.refresh_all(spark, wh, st, DEFAULT_RULES)
     return i, wh, st, first
 
 
@@ -39,7 +40,7 @@ def test_stored_table_equals_mart(spark, refreshed, table, method):
 def test_second_refresh_changes_nothing(spark, refreshed):
     i, wh, st, first = refreshed
     before = {t: _set(wh.read(spark, t), sorted(wh.read(spark, t).columns)) for t in RF.TABLES}
-    second = RF.refresh_all(spark, wh, st)
+    second = RF.refresh_all(spark, wh, st, DEFAULT_RULES)
     after = {t: _set(wh.read(spark, t), sorted(wh.read(spark, t).columns)) for t in RF.TABLES}
     assert before == after
     assert second["daily_personnel"].inserted == 0
