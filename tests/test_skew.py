@@ -70,3 +70,28 @@ def test_hot_month_has_one_first_deal(spark):
     per_month = p2.groupBy("year", "month").agg(F.sum("is_first_valid_deal").alias("n"), F.count("*").alias("rows"))
     assert per_month.agg(F.max("rows")).first()[0] > 10
     assert per_month.agg(F.max("n")).first()[0] <= 1
+
+
+def test_busy_person_month_is_split_by_aqe(spark):
+    """All records of one month on one person: the deals side of P2's join comes from its own shuffle and is split."""
+    class OneMonth(HotInputs):
+        @property
+        def accounting(self):
+            a = super().accounting
+            busy = F.col("responsible_id") == HOT
+            return a.withColumn("realization_date", F.when(busy, F.lit("2000-03-10").cast("date")).otherwise(F.col("realization_date")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = OneMonth(spark, SF_MID).p2()
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        assert "skew=true" in execution.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
