@@ -26,6 +26,27 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+#: Folders that stage() wrote and release() has not removed, in order.
+_staged: list[str] = []
+
+
+def release(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Remove the staged folders made after the first ``since`` ones, but for the newest ``keep``.
+
+    To be called when the newest ones hold all that is read from then on: the others are of no use, also not to
+    compute a lost part again, because reading a staged table is where lineage ends.
+    """
+    gone = _staged[since:len(_staged) - keep]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _staged[since:len(_staged) - keep]
+
+
+def staged_so_far() -> int:
+    return len(_staged)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df under the shared checkpoint folder and read it back, which cuts its lineage.
 
@@ -37,6 +58,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _staged.append(path)
     back = spark.read.schema(df.schema).parquet(path)
     del df  # else its shuffles count as in use
     gc.collect()

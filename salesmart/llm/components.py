@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import stage
+from salesmart.llm.common import release, stage, staged_so_far
 
 
 def _to_roots(up: DataFrame) -> DataFrame:
@@ -24,6 +24,7 @@ def _to_roots(up: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """links: columns a, b (not null; loops and repeated links do no harm). Returns (node, label): every node with a
     link, and the smallest node of its component; also for an empty table."""
+    spark, since = links.sparkSession, staged_so_far()
     both = links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     edges = stage(both.distinct(), "edges")
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -37,4 +38,5 @@ def components(links: DataFrame) -> DataFrame:
                 .withColumn(end, F.coalesce("up", end)).drop("up")
         edges = stage(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .distinct(), "edges")
+        release(spark, since, keep=2)  # the labels and the contracted edges
     return labels

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, lower_ascii, marked, shingle_hashes, small_batches, stage, table, words
+from salesmart.llm.common import crosscheck_columns, lower_ascii, marked, release, shingle_hashes, small_batches, stage, staged_so_far, table, words
 from salesmart.llm.components import components
 
 #: Longest adaptive prefix, frequent tokens ordered last (8 bytes each in a broadcast), their least frequency, and the
@@ -120,6 +120,7 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     rows = docs.select("id", token_set(F.col("text"), n_gram).alias("s"))
     rows = rows.select("id", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.hash("s", F.lit(n_gram)).alias("k2"),
                        F.filter("s", lambda t: t < bound).alias("low"))
+    began = staged_so_far()
     rows = stage(rows.select("id", "n", "k1", "k2", F.col("low").alias("tokens")), "rows")
 
     # classes of equal sets; only their smallest ids go on
@@ -128,6 +129,12 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     reps = rows.join(classes.select("rep", *keys), (rows["id"] == classes["rep"]) & (rows["n"] == classes["n"])
                      & (rows["k1"] == classes["k1"]) & (rows["k2"] == classes["k2"]))
     reps = reps.select("rep", rows["n"], "tokens").dropDuplicates(["rep", "n"])
+    # read twice below; from here on the tokens are in reps alone
+    reps = stage(reps, "reps")
+    rows = stage(rows.drop("tokens"), "narrow")
+    classes = stage(classes, "classes")
+    release(spark, began, keep=3)
+    begun = began + 3
 
     # frequent tokens come last in the order. First they are counted in the low share of the hash range; only documents
     # that have too few other tokens there are read again, and the frequent tokens of their whole sets added
@@ -145,6 +152,8 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
                                schema)
     prefixes = stage(cut.where("NOT crowded").unionByName(second).drop("crowded").withColumn("p", F.size("prefix")),
                      "prefixes")
+    release(spark, begun)
+    release(spark, began, keep=3)  # reps: narrow, classes and prefixes stay
     posts = prefixes.select("rep", "n", "m", "p", F.explode("prefix").alias("token"))
 
     # crowded buckets of like sizes: every member against the smallest one
@@ -160,7 +169,9 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     star = star.withColumn("shared", F.size(F.array_intersect("xa", "xb")))
     star = star.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
         F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b")
+    since = staged_so_far()
     first = stage(_verified(star, docs, n_gram, pct), "first")
+    release(spark, since)
     labels = components(first)
 
     # all other candidates: members that are still apart, of tokens that more than one component has
@@ -183,7 +194,10 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     pairs = pairs.groupBy("a", "b", "na", "nb", "pa", "pb", "ma", "mb").agg(F.count("*").alias("shared"))
     pairs = pairs.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
         F.col("shared"), F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), pct)).select("a", "b").distinct()
-    links = first.unionByName(_verified(pairs, docs, n_gram, pct))
+    since = staged_so_far()
+    rest = stage(_verified(pairs, docs, n_gram, pct), "rest")
+    release(spark, since)
+    links = first.unionByName(rest)
     # an id that stands for several texts ties their classes together
     many = rows.where("n > 0 AND id IS NOT NULL").join(classes, keys).where("id != rep")
     repeated = rows.where("id IS NOT NULL").groupBy("id").agg(F.countDistinct("k1", "k2").alias("c")).where("c > 1")
