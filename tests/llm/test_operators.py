@@ -194,6 +194,26 @@ def test_line_dedup_against_brute_force(spark, docs, empty):
     assert gone <= want and len(gone) >= 0.95 * len(want)  # banding may miss a few, nothing wrong goes
 
 
+def test_line_dedup_of_templated_lines(spark):
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789"))
+    own = lambda n: "".join(rng.choice(letters, n))
+    lines = []
+    for frame in (own(150), own(175), own(200)):
+        for _ in range(60):
+            part = own(32)
+            lines += [frame + part, frame + part[:-10] + own(10)]
+    sets = [line_sets(x) for x in lines]
+    want = set()
+    for i, j in itertools.combinations(range(len(lines)), 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= line_dedup.PERCENT * (len(sets[i]) + len(sets[j]) - both):
+            want.add(j)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    gone = {r.row.doc_id for r in line_dedup.line_dedup(df).where("n_dropped > 0").collect()}
+    assert len(want) >= 150 and gone <= want and len(gone) >= 0.97 * len(want)
+
+
 def python_spans(text):
     out = []
     for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
