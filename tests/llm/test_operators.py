@@ -214,6 +214,13 @@ def test_line_dedup_of_templated_lines(spark):
     assert len(want) >= 150 and gone <= want and len(gone) >= 0.97 * len(want)
 
 
+def test_line_dedup_of_short_lines(spark):
+    texts = ["Contents\nShare this page\nown words here one", "Contents\nShare this page\nquite another end", "Contents\nshort"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: r.new_text for r in line_dedup.line_dedup(df).collect()}
+    assert got == {0: texts[0], 1: "quite another end", 2: "short"}
+
+
 def python_spans(text):
     out = []
     for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
