@@ -221,6 +221,20 @@ def test_line_dedup_of_short_lines(spark):
     assert got == {0: texts[0], 1: "quite another end", 2: "short"}
 
 
+def test_line_signatures_of_repeated_passages(spark):
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    lines = []
+    for _ in range(40):
+        line = "".join(rng.choice(letters, 100)) * 60
+        lines += [line, "#" + line]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    rows = df.select("doc_id", F.xxhash64("text").alias("h")).join(line_dedup.signatures(df), "h").collect()
+    bands = {r.doc_id: set(r.bands) for r in rows}
+    assert len(rows) == 80 and all(r.n_places == 1 and len(r.bands) == line_dedup.BANDS for r in rows)
+    assert all(bands[i] & bands[i + 1] for i in range(0, 80, 2))
+
+
 def python_spans(text):
     out = []
     for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
