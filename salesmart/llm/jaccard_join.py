@@ -137,7 +137,7 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     begun = began + 3
 
     # frequent tokens come last in the order. First they are counted in the low share of the hash range; only documents
-    # that have too few other tokens there are read again, and the frequent tokens of their whole sets added
+    # that have too few other tokens there are read again, and the frequent ones of their tokens above the share added
     schema = "rep long, n int, m int, prefix array<long>, crowded boolean"
     hot = _frequent(reps.select(F.explode("tokens").alias("token")))
     cut = stage(reps.mapInPandas(_prefixes(hot["token"].to_numpy(np.int64), hot["count"].to_numpy(np.int64), bound, pct,
@@ -147,7 +147,9 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     again = again.select("id", token_set(F.col("text"), n_gram).alias("tokens")).join(
         crowd, (F.col("id") == F.col("rep")) & (F.size("tokens") == F.col("n")))
     again = stage(again.select("rep", "n", "tokens").dropDuplicates(["rep", "n"]), "again")
-    hot = pd.concat([_frequent(again.select(F.explode("tokens").alias("token"))), hot]).drop_duplicates("token").sort_values("token")
+    # low tokens keep their status of the first pass: so its prefixes are prefixes of the second order too
+    high = _frequent(again.select(F.explode("tokens").alias("token")).where(F.col("token") >= bound))
+    hot = pd.concat([high, hot]).sort_values("token")
     second = again.mapInPandas(_prefixes(hot["token"].to_numpy(np.int64), hot["count"].to_numpy(np.int64), bound, pct, True),
                                schema)
     prefixes = stage(cut.where("NOT crowded").unionByName(second).drop("crowded").withColumn("p", F.size("prefix")),

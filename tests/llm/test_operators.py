@@ -162,6 +162,31 @@ def test_jaccard_components_brute_force(spark, docs, empty):
         assert got == {i: (len(sets[i]), find(i)) for i in range(len(texts))}
 
 
+def test_jaccard_components_with_a_full_list_of_frequent_tokens(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    monkeypatch.setattr(jaccard_join, "HOT_DF", 2)
+    rng = np.random.default_rng(11)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rng.integers(300)}" for _ in range(int(rng.integers(8, 40)))]
+        for _ in range(6):
+            t = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                t[int(rng.integers(len(t)))] = f"w{rng.integers(300)}"
+            texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t, 1) for t in texts]
+    label = list(range(len(texts)))
+    find = lambda i: i if label[i] == i else find(label[i])
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            x, y = sorted((find(i), find(j)))
+            label[y] = x
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df, 1, 85).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+
+
 def line_sets(line):
     return {line[i:i + line_dedup.SHINGLE] for i in range(len(line) - line_dedup.SHINGLE + 1)}
 
