@@ -38,6 +38,8 @@ LENGTH = 36
 LEXICON = 20_000
 EPOCHS = 4
 BLOCK = 48
+#: Characters of a word; longer runs without white space, as in Chinese or Japanese text, are cut into words of this length.
+CHUNK = 48
 _CACHE = 300_000
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -47,7 +49,7 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     A marked word <w> gives its affixes of one to three characters and all two- and three-character n-grams.
     """
-    marked = [f"<{w.lower()[:48]}>" for w in words]
+    marked = [f"<{w.lower()}>" for w in words]
     size = np.array([len(m) for m in marked], np.int64)
     c = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     owner = np.repeat(np.arange(len(words)), size)
@@ -270,8 +272,11 @@ class Tagger:
 
 
 def lettered(text: str | None) -> list[str]:
-    """The words of a text that have a letter."""
-    return [w for w in (text or "").split() if w.isalpha() or _LETTER.search(w)]
+    """The words of a text that have a letter; a run of more than CHUNK characters is so many words of that length."""
+    runs = (text or "").split()
+    if any(len(w) > CHUNK for w in runs):
+        runs = [w[i:i + CHUNK] for w in runs for i in range(0, len(w), CHUNK)]
+    return [w for w in runs if w.isalpha() or _LETTER.search(w)]
 
 
 def _predict(field: Field | None):

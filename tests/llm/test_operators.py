@@ -369,6 +369,13 @@ def test_language_id(spark, docs, empty):
     assert labels[:50].count("de") > 40 and labels[-50:].count("fr") > 40
 
 
+def test_language_of_long_runs_counts_every_character():
+    assert language_crf.lettered("a" * 48 + "b" * 48 + "c 1") == ["a" * 48, "b" * 48, "c"]
+    field = language_crf.fit([["abcdefgh"] * 40, ["stuvwxyz"] * 40], ["x", "y"])
+    run = "abcdefgh" * 6 + "stuvwxyz" * 30
+    assert [y for _, y in language_crf.label_words(field, run)] == ["x"] + ["y"] * 5
+
+
 def test_factorisation_machine_identity():
     rng = np.random.default_rng(0)
     m = quality_fm.Model(0.3, rng.normal(size=quality_fm.DIMS + quality_fm.N_STATS).astype(np.float32),
