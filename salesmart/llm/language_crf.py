@@ -4,8 +4,9 @@ A word's emission sums weights of hashed affixes and character n-grams and of a
 transitions tie neighbouring words. Forward-backward gives every word's posterior, so code-switched text gets a label
 per word; a document's language is the label with the largest mean posterior over its words with letters.
 
-The field is fitted on a bounded sample: of each of the LANGS most frequent languages the SAMPLE rows with the
-smallest id hash; windows of their words are chained at random into code-switched sequences. Scoring reads whole texts
+The field knows every language of the table and is fitted on a bounded sample: of each language the rows with the
+smallest id hash, SAMPLE of them, or with many languages an equal share of ROWS rows, but LEAST in any case; windows of
+their words are chained at random into code-switched sequences. Scoring reads whole texts
 in Arrow batches without a shuffle. Long texts cost no longer loops: words are cut into blocks, block products of the
 4 x 4 (languages squared) transfer matrices are made for all blocks of a batch at once, and only these are chained, so
 posteriors are exact whatever a text's length.
@@ -23,17 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import crosscheck_columns, remainder, small_batches, table
 
 DIMS = 1 << 15
-#: Bounds of what is learned from: languages, rows of each, words of a row's windows, chained sequences.
-LANGS = 32
+#: Bounds of what is learned from: rows in all, rows of a language and their least number, words of a row's windows, chained
+#: sequences (with many languages, so many of each).
+ROWS = 8000
 SAMPLE = 250
+LEAST = 10
 WINDOW = 12
 SEQUENCES = 4000
+SEQUENCES_EACH = 20
 LENGTH = 36
 LEXICON = 20_000
 EPOCHS = 4
@@ -41,6 +45,8 @@ BLOCK = 48
 #: Characters of a word; longer runs without white space, as in Chinese or Japanese text, are cut into words of this length.
 CHUNK = 48
 _CACHE = 300_000
+#: Words times languages of texts that are tagged together.
+_TOGETHER = 1 << 22
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -168,9 +174,10 @@ def _expectations(e: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndar
         v = (x[:, t + 1] * beta[:, t + 1]) @ a.T
         beta[:, t] = v / v.sum(axis=1, keepdims=True)
     p = alpha * beta
-    pair = alpha[:, :-1, :, None] * a * (x * beta)[:, 1:, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
-    return (p / p.sum(axis=2, keepdims=True)).reshape(-1, x.shape[2]), pair.sum(axis=(0, 1))
+    n = x.shape[2]
+    left, right = alpha[:, :-1].reshape(-1, n), (x * beta)[:, 1:].reshape(-1, n)
+    left = left / ((left @ a) * right).sum(axis=1, keepdims=True)
+    return (p / p.sum(axis=2, keepdims=True)).reshape(-1, n), a * (left.T @ right)
 
 
 def fit(texts: list[list[str]], langs: list[str], epochs: int = EPOCHS, seed: int = 3) -> Field | None:
@@ -194,7 +201,7 @@ def fit(texts: list[list[str]], langs: list[str], epochs: int = EPOCHS, seed: in
     rows, ys = [], []
     by = [[k for k, (_, y) in enumerate(windows) if y == lab] for lab in range(n)]
     by = [x for x in by if x]
-    for _ in range(SEQUENCES):
+    for _ in range(max(SEQUENCES, SEQUENCES_EACH * n)):
         ws, y, group = [], [], by[rng.integers(len(by))]
         while len(ws) < LENGTH:
             if rng.random() < 0.3:
@@ -216,9 +223,10 @@ def fit(texts: list[list[str]], langs: list[str], epochs: int = EPOCHS, seed: in
     seq, y = np.array([[vocab[w] for w in r] for r in rows]), np.array(ys)
     w = np.zeros((DIMS + 1, n))
     gw, gt, gl = np.full_like(w, 1e-8), np.full((n, n), 1e-8), 1e-8
+    step = max(10, min(100, 3200 // n))  # bounds the weights held at once
     for _ in range(epochs):
-        for at in range(0, len(seq), 100):
-            s, lab = seq[at:at + 100], y[at:at + 100]
+        for at in range(0, len(seq), step):
+            s, lab = seq[at:at + step], y[at:at + step]
             flat = s.ravel()
             e = w[idx[flat]].sum(axis=1) * scale[flat][:, None] + field.lex_weight * lex_row[flat]
             p, dt = _expectations(e.reshape(len(s), LENGTH, n), field.trans)
@@ -248,7 +256,7 @@ class Tagger:
         self.field, self.ids, self.rows = field, {}, np.zeros((0, len(field.labels)))
 
     def _emissions(self, texts: list[list[str]]) -> np.ndarray:
-        if len(self.ids) > _CACHE:
+        if len(self.ids) > min(_CACHE, (1 << 24) // len(self.field.labels)):
             self.ids, self.rows = {}, np.zeros((0, len(self.field.labels)))
         ids, new = self.ids, []
         for ws in texts:
@@ -261,11 +269,21 @@ class Tagger:
         return self.rows[[ids[w] for ws in texts for w in ws]]
 
     def __call__(self, texts: list[list[str]]) -> list[np.ndarray]:
+        out, at, held = [], 0, 0
+        for i, t in enumerate(texts):
+            if i > at and (held + len(t)) * len(self.field.labels) > _TOGETHER:
+                out += self._tag(texts[at:i])
+                at, held = i, 0
+            held += len(t)
+        return out + self._tag(texts[at:])
+
+    def _tag(self, texts: list[list[str]]) -> list[np.ndarray]:
         lengths = np.array([len(t) for t in texts], np.int64)
         keep = np.flatnonzero(lengths)
         out = [np.zeros((0, len(self.field.labels)))] * len(texts)
         if len(keep):
-            p = posteriors(self._emissions(texts), lengths[keep], self.field.trans)
+            block = max(BLOCK, len(self.field.labels))  # a block's matrix takes no more than its words
+            p = posteriors(self._emissions(texts), lengths[keep], self.field.trans, block)
             for i, part in zip(keep, np.split(p, np.cumsum(lengths[keep])[:-1])):
                 out[i] = part
         return out
@@ -297,19 +315,21 @@ def _predict(field: Field | None):
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Fit on at most LANGS * sample rows of the learning split, at most 20 windows of words of each."""
+    """Fit on a sample of every language in the learning split, at most 20 windows of words of each row."""
     crosscheck_columns(docs, "doc_id", "text", "lang")
     rows = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(remainder(F.col("doc_id"), 4) != 2).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS)
-    langs = [r.lang for r in top.collect()]
-    picked = None
-    for x in langs:
-        part = rows.where(F.col("lang") == x).orderBy("h", "doc_id").limit(sample).select("doc_id")
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
         return None
-    # at most LANGS * sample ids; of each row the words of 20 windows spread over the text come to the driver
+    langs, quota = sorted(counts), min(sample, max(LEAST, ROWS // len(counts)))
+    # only a share of the hash range that surely has enough rows is put in order
+    tops = docs.sparkSession.createDataFrame(
+        [(x, min(1.0, (2 * quota + 100) / counts[x]) * 2.0 ** 64 - 2.0 ** 63) for x in langs], "lang string, top double")
+    first = rows.join(F.broadcast(tops), "lang").where(F.col("h").cast("double") <= F.col("top"))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = first.withColumn("no", F.row_number().over(order)).where(F.col("no") <= quota).select("doc_id")
+    # quota ids of each language; of each row the words of 20 windows spread over the text come to the driver
     got = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").mapInPandas(
         _windows, "doc_id long, lang string, words array<string>").toPandas()
     got = got[got["lang"].isin(langs)].drop_duplicates(["doc_id", "lang"]).sort_values(["doc_id", "lang"])

@@ -376,6 +376,20 @@ def test_language_of_long_runs_counts_every_character():
     assert [y for _, y in language_crf.label_words(field, run)] == ["x"] + ["y"] * 5
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_crf, "SEQUENCES", 400)
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(40):
+        own = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(rng.choice(own, 15)), f"l{k:02}") for i in range(16 if k < 32 else 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    field = language_crf.train(df)
+    assert field.labels == [f"l{k:02}" for k in range(40)]
+    got = language_crf.identify(df, field).join(df.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.95
+
+
 def test_factorisation_machine_identity():
     rng = np.random.default_rng(0)
     m = quality_fm.Model(0.3, rng.normal(size=quality_fm.DIMS + quality_fm.N_STATS).astype(np.float32),
