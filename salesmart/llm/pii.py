@@ -1,11 +1,11 @@
-"""Operator 4 [native], PII: patterns, and information-theoretic sanitisation of the terms around them.
+"""Operator 4 [native], PII: patterns, and information-theoretic sanitisation of the terms that go with what they find.
 
-Patterns find e-mail addresses, IP numbers, card numbers and phone numbers. A found value is a protected entity e. The
-terms in CONTEXT code points before and after its mentions are candidates t. Over the whole corpus, with token places
-as trials, p(e | t) is the share of all places of t that lie around mentions of e, and t's disclosure is
-PMI(e; t) / IC(e) = 1 + log p(e | t) / -log p(e): 1 when t occurs around e alone, 0 when it is independent of e.
-Terms seen around e in at least SUPPORT different contexts (copies of a context count once) are removed at a disclosure
-of REMOVE or more, and generalised to their kind at GENERALISE or more.
+Patterns find e-mail addresses, IP numbers, card numbers and phone numbers. A found value is a protected entity e; all
+terms of the documents that mention it are candidates t. Over the whole corpus, with documents as trials, p(e | t) is
+the share of the documents with t that mention e, and t's disclosure is PMI(e; t) / IC(e) = 1 + log p(e | t) / -log p(e):
+1 when t occurs with e alone, 0 when it is independent of e. Terms that go with e in at least SUPPORT documents of
+different contexts of e (copies of the CONTEXT code points around it count once) are removed at a disclosure of REMOVE
+or more, and generalised to their kind at GENERALISE or more, at all their places in all documents.
 
 All steps are DataFrame functions: matches are exploded with the lengths between them, and a window per document sums
 these to code-point places. Patterns are written so that the regex engine neither recurses per repetition nor starts
@@ -91,65 +91,83 @@ def mentions(docs: DataFrame) -> DataFrame:
         "id", "th", "kind", "value", "start", "end", "before", "after")
 
 
-def _terms(side: Column, place, cut_first: bool) -> Column:
-    """The terms of a context string with their places; a term cut by the context's edge is left out."""
-    def of(parts):
-        gaps, values = parts["g"], parts["v"]
-        def one(v, i):
-            before = F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda a, g: a + F.char_length(g))
-            inside = F.aggregate(F.slice(values, 1, i), F.lit(0), lambda a, x: a + F.char_length(x))
-            at = before + inside
-            return F.struct(F.lower(v).alias("term"), (place + at).cast("long").alias("start"),
-                            (place + at + F.char_length(v)).cast("long").alias("end"), at.alias("at"))
-        every = F.transform(values, one)
-        full = F.char_length(side) > CONTEXT
-        if cut_first:
-            return F.filter(every, lambda t: (t["at"] > 0) | ~full)
-        return F.filter(every, lambda t: (t["end"] - place < F.char_length(side)) | ~full)
-    return let(F.struct(F.split(side, TERM, -1).alias("g"), F.regexp_extract_all(side, F.lit(TERM), F.lit(0)).alias("v")), of)
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    runs = F.array_distinct(F.array_remove(F.split(text, NOT_TERM), ""))
+    return F.array_distinct(F.transform(runs, F.lower))
 
 
 def corpus_terms(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Places of the wanted terms over all texts (term, n), and of all terms (one row: total)."""
-    runs = F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), NOT_TERM), "")
-    rows = docs.select(runs.alias("ts"))
-    total = rows.agg(F.sum(F.size("ts")).alias("total"))
-    every = marked(rows.select(F.explode("ts").alias("term")), F.col("term"), wanted).where("maybe")
+    """Rows that hold each of the wanted terms (term, n), and all rows (one row: total)."""
+    total = docs.agg(F.count("*").alias("total"))
+    rows = _key(docs).select(F.explode(_terms(F.col("text"))).alias("term"))
+    every = marked(rows, F.col("term"), wanted).where("maybe")
     return every.groupBy("term").agg(F.count("*").alias("n")).join(wanted, "term"), total
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decisions (kind, value, term, disclosure, action) and the places of context terms they can apply to."""
-    left = _terms(F.col("before"), F.col("start") - F.char_length("before"), True)
-    right = _terms(F.col("after"), F.col("end"), False)
-    around = found.select("id", "th", "kind", "value", F.xxhash64("before", "after").alias("ctx"),
-                          F.explode(F.concat(left, right)).alias("t"))
-    around = around.select("id", "th", "kind", "value", "ctx", "t.term", "t.start", "t.end")
-    around = stage(around.where(F.char_length("term") >= 3), "around")
-    seen = around.groupBy("kind", "value", "term", "ctx").agg(F.count("*").alias("n"))
-    pairs = seen.groupBy("kind", "value", "term").agg(F.sum("n").alias("joint"), F.count("*").alias("contexts"))
-    pairs = stage(pairs.where(F.col("contexts") >= SUPPORT), "pairs")
-    wanted = stage(pairs.select("term").distinct(), "wanted")
-    places, total = corpus_terms(docs, wanted)
-    of_entity = around.groupBy("kind", "value").agg(F.countDistinct("id", "th", "start").alias("places"))
-    out = pairs.join(of_entity, ["kind", "value"]).join(places, "term").crossJoin(F.broadcast(total))  # one row
+def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Decisions: kind, value, term, disclosure, action."""
+    seen = found.groupBy("th", "kind", "value").agg(F.min(F.xxhash64("before", "after")).alias("ctx"))
+    seen = stage(seen, "seen")
+    # rows of a text are so many trials
+    copies = marked(_key(docs).select("th"), F.col("th"), seen.select("th")).where("maybe").groupBy("th").agg(
+        F.count("*").alias("w"))
+    seen = stage(seen.join(copies, "th"), "weighed")
+    entities = seen.groupBy("kind", "value", "ctx").agg(F.sum("w").alias("w")).groupBy("kind", "value").agg(
+        F.sum("w").alias("places"), F.count("*").alias("contexts"))
+    entities = entities.where(F.col("contexts") >= SUPPORT).drop("contexts").crossJoin(F.broadcast(
+        docs.agg(F.count("*").alias("total"))))  # one row
+    # a term of more rows than this cannot reach the disclosure, since at most all of e's rows hold it
     log_e = F.log2(F.col("places") / F.col("total"))
-    given = F.least(F.lit(1.0), F.col("joint") / F.col("n"))
-    out = out.withColumn("disclosure", F.round(1 + F.log2(given) / -log_e, 9))
+    entities = entities.where("places < total").withColumn("most", F.log2("places") - (1 - GENERALISE) * log_e + 1e-6)
+    seen = stage(seen.join(entities.drop("total"), ["kind", "value"]), "entities")
+    held = marked(_key(docs), F.col("th"), seen.select("th")).where("maybe")
+    held = held.select("th", F.explode(_terms(F.col("text"))).alias("term")).where(F.char_length("term") >= 3)
+    held = stage(held.distinct(), "held")
+    wanted = held.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT).select("term")
+    places, total = corpus_terms(docs, stage(wanted, "wanted"))
+    limit = seen.agg(F.max("most").alias("limit"))
+    places = places.crossJoin(F.broadcast(limit)).where(F.log2("n") <= F.col("limit")).select("term", "n")  # one row
+    pairs = seen.join(held.join(stage(places, "places"), "term"), "th").where(F.log2("n") <= F.col("most"))
+    pairs = pairs.groupBy("kind", "value", "term", "ctx").agg(F.sum("w").alias("joint"), F.max("places").alias("places"),
+                                                              F.max("n").alias("n"))
+    pairs = pairs.groupBy("kind", "value", "term").agg(
+        F.sum("joint").alias("joint"), F.count("*").alias("contexts"), F.max("places").alias("places"), F.max("n").alias("n"))
+    out = pairs.where(F.col("contexts") >= SUPPORT).crossJoin(F.broadcast(total))  # one row
+    out = out.withColumn("disclosure", F.round(1 + F.log2(F.col("joint") / F.col("n")) / -log_e, 9))
     action = F.when(F.col("disclosure") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
-    out = out.where(F.col("disclosure") >= GENERALISE).select("kind", "value", "term", "disclosure", action.alias("action"))
-    return out, around
+    return out.where(F.col("disclosure") >= GENERALISE).select("kind", "value", "term", "disclosure", action.alias("action"))
+
+
+def term_places(docs: DataFrame, found: DataFrame, decided: DataFrame) -> DataFrame:
+    """(id, th, start, end, action): all places of the decided terms in all texts, but those in found values."""
+    terms = stage(decided.groupBy("term").agg(F.max("action").alias("action")), "terms")
+    rows = _key(docs)
+    holds = marked(rows.select("th", F.explode(_terms(F.col("text"))).alias("term")), F.col("term"), terms.select("term"))
+    holds = stage(holds.where("maybe").join(terms, "term", "left_semi").select("th").distinct(), "holds")
+    rows = marked(rows, F.col("th"), holds).where("maybe")
+    gaps, values = F.split("text", TERM, -1), F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    rows = rows.select("id", "th", gaps.alias("gaps"), values.alias("values"))
+    each = rows.select("id", "th", F.posexplode(F.transform("values", lambda v, i: F.struct(
+        F.lower(v).alias("term"), F.char_length(F.get("gaps", i)).alias("gap"), F.char_length(v).alias("len")))).alias("i", "t"))
+    each = each.select("id", "th", "i", "t.*").dropDuplicates(["id", "th", "i"])
+    upto = Window.partitionBy("id", "th").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto))
+    each = each.withColumn("start", F.col("end") - F.col("len")).join(terms, "term")
+    taken = found.groupBy("id", "th").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
+    taken = taken.select(F.col("id").alias("id1"), F.col("th").alias("th1"), "taken")
+    each = each.join(taken, F.col("id").eqNullSafe(F.col("id1")) & (F.col("th") == F.col("th1")), "left")
+    inside = F.exists("taken", lambda m: (F.col("start") < m["end"]) & (m["start"] < F.col("end")))
+    return each.where(F.col("taken").isNull() | ~inside).select("id", "th", "start", "end", "action")
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
     """One row per document with spans: id, th, spans (sorted array of kind order, start, end, kind, action)."""
     crosscheck_columns(docs, "doc_id", "text")
     found = stage(mentions(docs), "mentions")
-    decided, around = disclosing_terms(docs, found)
     order = F.expr("CASE kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS)) + " END")
     base = found.select("id", "th", order.alias("o"), "start", "end", "kind", F.lit("mask").alias("action"))
-    terms = around.join(decided, ["kind", "value", "term"]).groupBy("id", "th", "start", "end").agg(
-        F.max("action").alias("action"))
+    terms = term_places(docs, found, disclosing_terms(docs, found))
     terms = terms.select("id", "th", F.lit(4).alias("o"), "start", "end", F.lit("term").alias("kind"), "action")
     spans = base.unionByName(terms)
     return spans.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("o", "start", "end", "kind", "action"))).alias("spans"))

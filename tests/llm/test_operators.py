@@ -295,6 +295,17 @@ def test_pii_disclosing_terms(spark):
     assert clean[20] == texts[20]
 
 
+def test_pii_terms_are_removed_at_all_places(spark):
+    filler = "common words that stand in every text of this corpus " * 4
+    texts = [f"write to boss@firm.com please {i} {filler} Zorblax lives here {filler} and zorblax too {i}" for i in range(12)]
+    texts += [f"{filler} and more about nothing {i}" for i in range(5000)]
+    texts.append(f"{filler} only zorblax, without the address")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.row.doc_id: r.clean_text for r in pii.sanitised(df).collect()}
+    assert len(clean) == len(texts) and clean[100] == texts[100]
+    assert not [i for i, t in clean.items() if "zorblax" in t.lower()] and all("common words" in t for t in clean.values())
+
+
 def test_lattice_sums_all_segmentations():
     m = lattice_lm.Lattice(["▁", "▁a", "a", "b", "ab", "ba", "▁ab"], np.array([.1, .1, .2, .1, .2, .1, .1]),
                            np.full(256, 1e-4), 0.05)
