@@ -26,6 +26,33 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+class Scratch:
+    """Stored intermediate tables of one computation, under the shared checkpoint folder.
+
+    An object of its own for each computation, so two that run in one driver never touch each other's tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write df and read it back, which cuts its lineage. The files are removed when the driver ends, or by keep()."""
+        path = f"{ensure_checkpoint_dir(self.spark)}/llm-{uuid.uuid4().hex}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep(self, newest: int) -> None:
+        """Remove the stored tables but for the newest ones, when these hold all that is read from then on."""
+        gone, self.paths = self.paths[:len(self.paths) - newest], self.paths[len(self.paths) - newest:]
+        for path in gone:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 #: Folders that stage() wrote and release() has not removed, in order.
 _staged: list[str] = []
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from salesmart.llm import best_fit_packing, exact_dedup, fingerprints, jaccard_join, language_crf, lattice_lm, line_dedup, mixing, pii, quality_fm
+from salesmart.llm import (best_fit_packing, exact_dedup, filter_audit, fingerprints, jaccard_join, language_crf, lattice_lm, license_scan,
+                           line_dedup, mixing, ns_kmeans, pii, quality_fm)
 
 _MODULES = {
     "op1_best_fit_packing": best_fit_packing,
@@ -15,6 +16,9 @@ _MODULES = {
     "op8_quality_classifier": quality_fm,
     "op9_mixing": mixing,
     "op10_exact_dedup": exact_dedup,
+    "op11_centroid_clustering": ns_kmeans,
+    "op12_license_scan": license_scan,
+    "op13_filter_audit": filter_audit,
 }
 
 
