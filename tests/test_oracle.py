@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from salesmart.oracle_registry import oracle_sql
 from salesmart.plans import catalog
 from salesmart.sources.fixtures import TEST_TABLES

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from salesmart.plans import activity
 from salesmart.plans.catalog import Inputs
 from salesmart.sources.snapshot import snapshot_day_filter

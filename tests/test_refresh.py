@@ -3,7 +3,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from salesmart.operators.upsert import upsert_table
 from salesmart.plans import refresh as RF
 from salesmart.plans.catalog import Inputs

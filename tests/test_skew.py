@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from paths import SF_MID, SF_SMALL
 from salesmart import oracle as O
 from salesmart.plans.catalog import Inputs
 from salesmart.sources.fixtures import TEST_TABLES

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from salesmart.operators.versioned import publish, read_table
 from salesmart.operators.upsert import insert_if_absent, merge
 from salesmart.plans.catalog import Inputs
