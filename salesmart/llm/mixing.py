@@ -9,7 +9,7 @@ A leaf's budget becomes full epochs plus a token prefix of the next one: its doc
 of (seed, epoch, doc_id), as long as the running token sum stays within the rest. The running sum is two-level (hash
 bucket, then inside a bucket), so a leaf with a third of all rows is spread over 4096 groups.
 
-Defined cases: null domain, language or source are a leaf key '(none)'; null or empty text has no tokens and comes
+Defined cases: null domain, language or source are a leaf key '(none)', and so is the domain of a source of another form; null or empty text has no tokens and comes
 along with its prefix; a weight of zero or below gives no budget; an empty table gives an empty result; rows repeated
 with one id are separate documents, ties between them are broken by their tokens; extra columns pass through.
 """
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import crosscheck_columns, stage, table, words
 
 LEVELS = ("domain", "lang", "source")
-#: Production parameters of the registered query: the domain of a source, and weights (others weigh 1).
-DOMAIN_SQL = "concat('domain', cast(substr(source, 4) AS int) % 4)"
+#: Production parameters of the registered query: the domain of a source (of one that isn't src and a number: none), and weights (others weigh 1).
+DOMAIN_SQL = ("CASE WHEN substr(source, 1, 3) = 'src' AND length(source) BETWEEN 4 AND 12 "
+              "AND translate(substr(source, 4), '0123456789', '') = '' "
+              "THEN concat('domain', cast(substr(source, 4) AS int) % 4) END")
 WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
            "lang": {"en": 6, "de": 2, "fr": 2, "es": 1}, "source": {"src0": 3}}
 #: Tokens wanted, as a share of the tokens there are.
@@ -133,7 +135,9 @@ def _level(name: str, source: str, parent: list[str], key: str) -> str:
 
 ORACLE = rf"""
 WITH d AS (
-  SELECT doc_id, 'domain' || (substr(source, 4)::INT % 4) AS domain, coalesce(lang, '(none)') AS lang,
+  SELECT doc_id, coalesce(CASE WHEN substr(source, 1, 3) = 'src' AND length(source) BETWEEN 4 AND 12
+           AND translate(substr(source, 4), '0123456789', '') = ''
+         THEN 'domain' || (TRY_CAST(substr(source, 4) AS INT) % 4) END, '(none)') AS domain, coalesce(lang, '(none)') AS lang,
          coalesce(source, '(none)') AS source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS tokens
   FROM documents),
