@@ -97,12 +97,15 @@ def _may_reach(shared, na, pa, nb, pb, pct: int) -> Column:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n_gram: int, pct: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity; sets are made for the documents concerned only."""
+    """The pairs (a, b) whose whole sets reach the similarity; sets are made for the documents concerned only.
+
+    No filter on the sets here: it would be pushed below the bitmap's join and make the sets of all documents.
+    """
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     ids = stage(ids, "ids")
     sets = marked(docs, F.col("id"), ids).where("maybe")
-    sets = stage(sets.select("id", token_set(F.col("text"), n_gram).alias("s")).where("size(s) > 0"), "sets")
+    sets = stage(sets.select("id", token_set(F.col("text"), n_gram).alias("s")), "sets")
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
     inter = F.size(F.array_intersect("sa", "sb"))
@@ -128,7 +131,8 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     classes = stage(rows.where("n > 0 AND id IS NOT NULL").groupBy(*keys).agg(F.min("id").alias("rep")), "classes")
     reps = rows.join(classes.select("rep", *keys), (rows["id"] == classes["rep"]) & (rows["n"] == classes["n"])
                      & (rows["k1"] == classes["k1"]) & (rows["k2"] == classes["k2"]))
-    reps = reps.select("rep", rows["n"], "tokens").dropDuplicates(["rep", "n"])
+    # an id with several texts stands for each of them
+    reps = reps.select("rep", rows["n"], rows["k1"], rows["k2"], "tokens").dropDuplicates(["rep", *keys]).drop("k1", "k2")
     # read twice below; from here on the tokens are in reps alone
     reps = stage(reps, "reps")
     rows = stage(rows.drop("tokens"), "narrow")
@@ -146,7 +150,8 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     again = marked(docs, F.col("id"), crowd.select("rep")).where("maybe")
     again = again.select("id", token_set(F.col("text"), n_gram).alias("tokens")).join(
         crowd, (F.col("id") == F.col("rep")) & (F.size("tokens") == F.col("n")))
-    again = stage(again.select("rep", "n", "tokens").dropDuplicates(["rep", "n"]), "again")
+    again = again.select("rep", "n", "tokens", F.xxhash64("tokens").alias("k")).dropDuplicates(["rep", "n", "k"])
+    again = stage(again.drop("k"), "again")
     # low tokens keep their status of the first pass: so its prefixes are prefixes of the second order too
     high = _frequent(again.select(F.explode("tokens").alias("token")).where(F.col("token") >= bound))
     hot = pd.concat([high, hot]).sort_values("token")
@@ -170,7 +175,7 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     star = stage(star, "star").join(side, "a").join(other, "b")
     star = star.withColumn("shared", F.size(F.array_intersect("xa", "xb")))
     star = star.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
-        F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b")
+        F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b").distinct()
     since = staged_so_far()
     first = stage(_verified(star, docs, n_gram, pct), "first")
     release(spark, since)
@@ -192,7 +197,7 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
                        F.col("m").alias("mb"), F.col("p").alias("pb"))
     pairs = meet.join(one, ["token", "la"]).join(two, ["token", "lb"])
     pairs = pairs.where(f"100 * na >= {pct} * nb AND 100 * nb >= {pct} * na")
-    # ids of one text have one size and prefix, so these are constant in a pair
+    # texts of one id that agree in these are counted together, which makes candidates of them at most
     pairs = pairs.groupBy("a", "b", "na", "nb", "pa", "pb", "ma", "mb").agg(F.count("*").alias("shared"))
     pairs = pairs.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
         F.col("shared"), F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), pct)).select("a", "b").distinct()
