@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, stage, table, words
+from salesmart.llm.common import ID, crosscheck_columns, packed_id, stage, table, unpacked_id, words
 
 #: Permitted sequence lengths in tokens, the overhead of a sequence, and pieces in a shard on average.
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -70,7 +70,8 @@ def best_plan(sizes: list[int], capacities: tuple[int, ...], overhead: int) -> t
 
 def _pack_shard(capacities: tuple[int, ...], overhead: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "copy", "piece"], ascending=[False, True, True, True],
+        pdf = pdf.sort_values(["n_tokens", "no_id", "doc_id", "copy", "piece"],
+                              ascending=[False, True, True, True, True],
                               kind="stable").reset_index(drop=True)
         sizes = [int(n) for n in pdf["n_tokens"]]
         where, final, _ = best_plan(sizes, capacities, overhead)
@@ -82,7 +83,8 @@ def _pack_shard(capacities: tuple[int, ...], overhead: int):
         pdf["bin_offset"] = offset
         pdf["capacity"] = [final[b] for b in where]
         pdf["bin_tokens"] = [used[b] for b in where]
-        return pdf[["doc_id", "copy", "piece", "start", "n_tokens", "shard", "bin", "bin_offset", "capacity", "bin_tokens"]]
+        return pdf[["doc_id", "no_id", "copy", "piece", "start", "n_tokens", "shard", "bin", "bin_offset", "capacity",
+                    "bin_tokens"]]
     return run
 
 
@@ -108,10 +110,11 @@ def best_fit_pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, ove
     filled = pieces.where("n_tokens > 0")
     shards = max(1, -(-filled.count() // shard_items))
     shard = F.pmod(F.xxhash64("doc_id", "copy", "piece", "n_tokens"), F.lit(shards)).cast("int")
-    schema = ("doc_id long, copy long, piece int, start int, n_tokens int, shard int, bin int, bin_offset int, "
+    schema = (f"{ID}, copy long, piece int, start int, n_tokens int, shard int, bin int, bin_offset int, "
               "capacity int, bin_tokens int")
-    packed = (filled.withColumn("shard", shard).groupBy("shard")
-              .applyInPandas(_pack_shard(capacities, overhead), schema))
+    items = filled.select(*packed_id(F.col("doc_id")), "copy", "piece", "start", "n_tokens", shard.alias("shard"))
+    packed = items.groupBy("shard").applyInPandas(_pack_shard(capacities, overhead), schema)
+    packed = packed.withColumn("doc_id", unpacked_id()).drop("no_id")
     none = F.lit(None).cast("int")
     empty = pieces.where("n_tokens = 0").select("*", *[none.alias(c) for c in (
         "shard", "bin", "bin_offset", "capacity", "bin_tokens")])

@@ -149,6 +149,19 @@ def marked(rows: DataFrame, key: Column, keys: DataFrame, name: str = "maybe") -
     return out.select(*rows.columns, found.alias(name))
 
 
+#: Type of the two columns of a packed id, for the schemas of functions on pandas.
+ID = "doc_id long, no_id boolean"
+
+
+def packed_id(doc_id: Column) -> list[Column]:
+    """A possibly null id as two columns without nulls: pandas would turn a column with a null into doubles."""
+    return [F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("doc_id"), doc_id.isNull().alias("no_id")]
+
+
+def unpacked_id() -> Column:
+    return F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id")
+
+
 def crosscheck_columns(df: DataFrame, *names: str) -> None:
     """Fail early, with the column's name, where a needed column is missing."""
     missing = [n for n in names if n not in df.columns]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, remainder, small_batches, table
+from salesmart.llm.common import ID, crosscheck_columns, packed_id, remainder, small_batches, table, unpacked_id
 
 DIMS = 1 << 15
 #: Bounds of what is learned from: rows in all, rows of a language and their least number, words of a row's windows, chained
@@ -36,6 +36,8 @@ ROWS = 8000
 SAMPLE = 250
 LEAST = 10
 WINDOW = 12
+#: Windows that the sample takes of a learned row, spread evenly over its whole text (all of a text of up to 240 words).
+WINDOWS = 20
 SEQUENCES = 4000
 SEQUENCES_EACH = 20
 LENGTH = 36
@@ -309,13 +311,13 @@ def _predict(field: Field | None):
                     k = int(mean.argmax())
                     pred[i], score[i] = field.labels[k], min(1.0, float(mean[k]))
                     switches[i] = np.count_nonzero(np.diff(p.argmax(axis=1)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "lang_pred": pred, "score": score,
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "no_id": pdf["no_id"], "held_out": pdf["held_out"], "lang_pred": pred, "score": score,
                                 "n_words": [len(t) for t in texts], "n_switches": switches})
     return run
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Fit on a sample of every language in the learning split, at most 20 windows of words of each row."""
+    """Fit on a sample of every language in the learning split, at most WINDOWS windows of words of each row."""
     crosscheck_columns(docs, "doc_id", "text", "lang")
     rows = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     rows = rows.where(remainder(F.col("doc_id"), 4) != 2).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
@@ -329,7 +331,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     first = rows.join(F.broadcast(tops), "lang").where(F.col("h").cast("double") <= F.col("top"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = first.withColumn("no", F.row_number().over(order)).where(F.col("no") <= quota).select("doc_id")
-    # quota ids of each language; of each row the words of 20 windows spread over the text come to the driver
+    # quota ids of each language; of each row the words of windows spread over the text come to the driver
     got = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").mapInPandas(
         _windows, "doc_id long, lang string, words array<string>").toPandas()
     got = got[got["lang"].isin(langs)].drop_duplicates(["doc_id", "lang"]).sort_values(["doc_id", "lang"])
@@ -341,7 +343,7 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for text in pdf["text"]:
             ws = lettered(text)
-            step = max(WINDOW, -(-len(ws) // 20))
+            step = max(WINDOW, -(-len(ws) // WINDOWS))
             out.append([w for i in range(0, len(ws), step) for w in ws[i:i + WINDOW]])
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang": pdf["lang"], "words": out})
 
@@ -349,9 +351,10 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def identify(docs: DataFrame, field: Field | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score, n_words, n_switches for every row of docs."""
     small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
-    return rows.mapInPandas(_predict(field), "doc_id long, held_out boolean, lang_pred string, score double, "
-                                             "n_words long, n_switches long")
+    rows = docs.select(*packed_id(F.col("doc_id")), "text", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
+    out = rows.mapInPandas(_predict(field), f"{ID}, held_out boolean, lang_pred string, score double, n_words long, "
+                                            "n_switches long")
+    return out.withColumn("doc_id", unpacked_id()).drop("no_id")
 
 
 def label_words(field: Field, text: str) -> list[tuple[str, str]]:

@@ -26,7 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, lower_ascii, remainder, small_batches, stage, table, words
+from salesmart.llm.common import (ID, crosscheck_columns, lower_ascii, packed_id, remainder, small_batches, stage, table,
+                                  unpacked_id, words)
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 2
@@ -183,7 +184,7 @@ def _score(model: Lattice, hot: dict[str, int]):
                         total += tf * got[1]
                 out.append((len(ws) + 1, known, total, score, rest, times))
             cols = list(zip(*out)) or [[]] * 6
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "held_out": pdf["held_out"].to_numpy(),
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "no_id": pdf["no_id"].to_numpy(), "held_out": pdf["held_out"].to_numpy(),
                                 "n": cols[0], "known": cols[1], "total": cols[2], "score": cols[3], "rest": cols[4],
                                 "times": cols[5]})
     return run
@@ -193,7 +194,7 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs."""
     crosscheck_columns(docs, "doc_id", "text")
     small_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"))
+    docs = docs.select(*packed_id(F.col("doc_id")), "text", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"))
     learn = docs.where("NOT held_out")
     counts = stage(word_counts(learn), "counts")
     n_docs = learn.count()
@@ -202,7 +203,7 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
     model = adapt(read_vocabulary(vocabulary), counts, n_docs, rounds)
     hot = counts.where(F.char_length("word") <= HOT_CHARS).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
     rows = docs.mapInPandas(_score(model, {r.word: r.c for r in hot}),
-                            "doc_id long, held_out boolean, n long, known long, total double, score double, "
+                            f"{ID}, held_out boolean, n long, known long, total double, score double, "
                             "rest array<string>, times array<int>")
     # the row number is written with the rows, so it is the same whenever they are read
     rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
@@ -215,7 +216,7 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
     extra = math.log10(n_docs + 1)  # the end of the text
     base = F.col("total") + F.coalesce("plus", F.lit(0.0)) + F.lit(extra) - F.col("n") * F.lit(one)
     known = F.col("known") + F.coalesce("more", F.lit(0)) + F.lit(int(n_docs > 0))
-    return out.select("doc_id", "held_out", F.col("n").alias("n_tokens"), known.cast("long").alias("n_known"),
+    return out.select(unpacked_id(), "held_out", F.col("n").alias("n_tokens"), known.cast("long").alias("n_known"),
                       F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
