@@ -119,14 +119,15 @@ def rewrite_partitions(spark: SparkSession, path: str, source: DataFrame,
     metric columns) is evaluated during the write.  Returns the number of
     partitions rewritten.
     """
+    known = V.snapshot(spark, path)   # one state of the table for the read and for the write
     staged, touched, folder = V.stage(spark, path, source, partition_cols)
     if check is not None:
         check(staged)
-    out = combine(V.read_partitions(spark, path, touched), staged)
+    out = combine(V.read_partitions(spark, path, touched, known), staged)
     if observe is not None:
         out = out.observe(observe[0], *observe[1])
     out = out.drop(*[c for c in out.columns if c.startswith("upsert_")])
-    published = V.publish(spark, path, out, partition_cols)
+    published = V.publish(spark, path, out, partition_cols, known=known)
     V.discard(spark, folder)
     return published
 

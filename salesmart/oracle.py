@@ -46,12 +46,15 @@ FROM users u JOIN presence c ON c.id = u.id WHERE {where}"""
 
 
 def base_ctes(as_of: dt.date = AS_OF, accounting_before: dt.date | None = None,
-              users_hired_before: dt.date | None = None) -> list[tuple[str, str]]:
+              users_hired_before: dt.date | None = None, accounting_status: str | None = None) -> list[tuple[str, str]]:
+    """``accounting_status`` is an expression that replaces the records' status."""
     ctes = []
     for name in RELATIONS:
         text = relation_sql(name, as_of)
         if name == "accounting" and accounting_before is not None:
             text = f"SELECT * FROM ({text}) WHERE realization_date < {d(accounting_before)}"
+        if name == "accounting" and accounting_status is not None:
+            text = f"SELECT * REPLACE ({accounting_status} AS status) FROM ({text})"
         if name == "users" and users_hired_before is not None:
             text = f"SELECT * FROM ({text}) WHERE COALESCE(career_start, start_date) < {d(users_hired_before)}"
         ctes.append((name, text))

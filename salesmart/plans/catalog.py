@@ -115,7 +115,7 @@ def _unit(fn: Callable[[Inputs], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from salesmart.plans import sinks  # noqa: F401  (registers sink queries)
+    from salesmart.plans import features, sinks  # noqa: F401  (they register their queries)
     from salesmart.plans.units import UNITS
     out: dict[str, Query] = {}
     out.update(MARTS)

@@ -155,20 +155,28 @@ def sales_staff_agg_income(dm_deals: DataFrame) -> DataFrame:
                       avg.cast("decimal(28,0)").alias("avg_income"))
 
 
-def operational_sales_report(accounting: DataFrame, deal: DataFrame, objects: DataFrame, users: DataFrame,
-                             bid: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Closed non-rental-contract income and deal count per realization date and property type.
+def sales_report_rows(accounting: DataFrame, deal: DataFrame, objects: DataFrame, users: DataFrame, bid: DataFrame,
+                      rules: Rules = DEFAULT_RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records behind P8 (id, realization_date, income, property_type and the columns to keep).
 
-    The users join only keeps records of home-company people (a semi join);
-    the aggregate is combined map-side, so only (date, type) partials shuffle.
+    The users join only keeps records of home-company people (a semi join).
     """
     rental_contract = F.col("contract_name").isin(*RENTAL_CONTRACT_NAMES)
     records = accounting.where((F.col("status") == rules.closed_status)
                                & (~rental_contract | F.col("contract_name").isNull()))
-    records = records.select("id", "responsible_id", "realization_date", "deal_id", "income")
+    records = records.select("id", "responsible_id", "realization_date", "deal_id", "income", *keep)
     home = users.where(F.col("company") == rules.home_company).select(F.col("id").alias("responsible_id"))
     records = records.join(home, "responsible_id", "left_semi")
-    typed = with_property_type(records, deal, objects, bid)
+    return with_property_type(records, deal, objects, bid)
+
+
+def operational_sales_report(accounting: DataFrame, deal: DataFrame, objects: DataFrame, users: DataFrame,
+                             bid: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Closed non-rental-contract income and deal count per realization date and property type.
+
+    The aggregate is combined map-side, so only (date, type) partials shuffle.
+    """
+    typed = sales_report_rows(accounting, deal, objects, users, bid, rules)
     return typed.groupBy("realization_date", "property_type").agg(
         F.sum("income").cast("decimal(28,2)").alias("income"), F.count("id").alias("deals_count"))
 
