@@ -9,8 +9,9 @@ shares min(l_x, l_y) prefix tokens and its sets' rests leave room for the simila
 
 The global order puts listed frequent tokens last and, of the others, a fixed low share of the hash range first. The
 order may be any, so the bound on the broadcast list of frequent tokens costs time only, never a link. Components need
-not compare all pairs of a large group: crowded buckets first link their members to the bucket's smallest one, and only
-pairs whose members are still apart then are enumerated. All links that join different components are verified
+not compare all pairs of a large group: crowded buckets first link their members to the bucket's smallest one, then one
+member of each component meets those of the others on each token, and only pairs whose members are still apart after
+that are enumerated. All links that join different components are verified
 exactly, so the components are those of the whole link graph.
 
 Defined cases: null or blank texts have an empty set and are linked with nothing, not even each other; fewer words than
@@ -112,6 +113,23 @@ def _verified(pairs: DataFrame, docs: DataFrame, n_gram: int, pct: int) -> DataF
     return both.where(100 * inter >= pct * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
 
 
+def _sharing(pairs: DataFrame, prefixes: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) whose prefixes share as many tokens as both documents' choices of matches ask for."""
+    side = prefixes.select(F.col("rep").alias("a"), F.col("m").alias("ma"), F.col("n").alias("na"), F.col("prefix").alias("xa"))
+    other = prefixes.select(F.col("rep").alias("b"), F.col("m").alias("mb"), F.col("n").alias("nb"), F.col("prefix").alias("xb"))
+    both = stage(pairs, "met").join(side, "a").join(other, "b").withColumn("shared", F.size(F.array_intersect("xa", "xb")))
+    return both.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
+        F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b").distinct()
+
+
+def _open_posts(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """posts with the label of their component, of tokens that more than one component has."""
+    posts = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    posts = posts.withColumn("label", F.coalesce("label", "rep"))
+    spread = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return posts.join(spread.select("token"), "token", "left_semi")
+
+
 def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id; links need 100 * intersection >= pct * union."""
     crosscheck_columns(docs, "doc_id", "text")
@@ -161,7 +179,7 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
                      "prefixes")
     release(spark, begun)
     release(spark, began, keep=3)  # reps: narrow, classes and prefixes stay
-    posts = prefixes.select("rep", "n", "m", "p", F.explode("prefix").alias("token"))
+    posts = prefixes.select("rep", "n", "m", "p", F.posexplode("prefix").alias("pos", "token"))
 
     # crowded buckets of like sizes: every member against the smallest one
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / pct))).cast("int")
@@ -170,22 +188,25 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     heads = stage(heads.where(F.col("members") >= CROWDED).drop("members"), "heads")
     star = (sized.join(heads, ["token", "band"]).where("a != rep").groupBy("a", F.col("rep").alias("b"))
             .agg(F.count("*").alias("shared")).select("a", "b"))
-    side = prefixes.select(F.col("rep").alias("a"), F.col("m").alias("ma"), F.col("n").alias("na"), F.col("prefix").alias("xa"))
-    other = prefixes.select(F.col("rep").alias("b"), F.col("m").alias("mb"), F.col("n").alias("nb"), F.col("prefix").alias("xb"))
-    star = stage(star, "star").join(side, "a").join(other, "b")
-    star = star.withColumn("shared", F.size(F.array_intersect("xa", "xb")))
-    star = star.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
-        F.col("shared"), F.col("na"), F.size("xa"), F.col("nb"), F.size("xb"), pct)).select("a", "b").distinct()
+    star = _sharing(star, prefixes, pct)
     since = staged_so_far()
     first = stage(_verified(star, docs, n_gram, pct), "first")
     release(spark, since)
-    labels = components(first)
+
+    # then one member of each component for each token that several components have: the one with least before the token
+    open_ = _open_posts(posts, components(first))
+    front = open_.groupBy("token", "label").agg(F.min(F.struct("pos", "rep", "n")).alias("one"))
+    front = stage(front.select("token", "label", "one.rep", "one.n"), "front")
+    one = front.select("token", F.col("label").alias("la"), F.col("rep").alias("a"), F.col("n").alias("na"))
+    two = front.select("token", F.col("label").alias("lb"), F.col("rep").alias("b"), F.col("n").alias("nb"))
+    met = one.join(two, "token").where(f"la < lb AND a != b AND 100 * na >= {pct} * nb AND 100 * nb >= {pct} * na")
+    met = _sharing(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), prefixes, pct)
+    since = staged_so_far()
+    first = stage(_verified(met, docs, n_gram, pct).unionByName(first), "second")
+    release(spark, since)
 
     # all other candidates: members that are still apart, of tokens that more than one component has
-    posts = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    posts = posts.withColumn("label", F.coalesce("label", "rep"))
-    spread = posts.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    posts = stage(posts.join(spread.select("token"), "token", "left_semi"), "posts")
+    posts = stage(_open_posts(posts, components(first)), "posts")
     groups = stage(posts.groupBy("token", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "groups")
     x, y = groups.alias("x"), groups.alias("y")
     meet = x.join(y, F.expr(f"x.token = y.token AND x.label < y.label AND 100 * x.hi >= {pct} * y.lo "
