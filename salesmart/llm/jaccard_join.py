@@ -9,9 +9,8 @@ shares min(l_x, l_y) prefix tokens and its sets' rests leave room for the simila
 
 The global order puts listed frequent tokens last and, of the others, a fixed low share of the hash range first. The
 order may be any, so the bound on the broadcast list of frequent tokens costs time only, never a link. Components need
-not compare all pairs of a large group: crowded buckets first link their members to the bucket's smallest one, then one
-member of each component meets those of the others on each token, and only pairs whose members are still apart after
-that are enumerated. All links that join different components are verified
+not compare all pairs of a large group: crowded buckets first link their members to the bucket's smallest one, and only
+pairs whose members are still apart then are enumerated, at places in their prefixes that leave room for the similarity. All links that join different components are verified
 exactly, so the components are those of the whole link graph.
 
 Defined cases: null or blank texts have an empty set and are linked with nothing, not even each other; fewer words than
@@ -39,6 +38,8 @@ MAX_MATCHES = 4
 HOT = 65536
 HOT_DF = 16
 CROWDED = 8
+#: Size classes of a group's members, to a factor of e: one percent each.
+SLOTS_PER_E = 100
 #: Cost of reading one posting, and of verifying a candidate for each of its tokens.
 READ_COST, VERIFY_COST = 1.0, 0.05
 
@@ -193,35 +194,33 @@ def jaccard_components(docs: DataFrame, n_gram: int = 3, pct: int = 90) -> DataF
     first = stage(_verified(star, docs, n_gram, pct), "first")
     release(spark, since)
 
-    # then one member of each component for each token that several components have: the one with least before the token
-    open_ = _open_posts(posts, components(first))
-    front = open_.groupBy("token", "label").agg(F.min(F.struct("pos", "rep", "n")).alias("one"))
-    front = stage(front.select("token", "label", "one.rep", "one.n"), "front")
-    one = front.select("token", F.col("label").alias("la"), F.col("rep").alias("a"), F.col("n").alias("na"))
-    two = front.select("token", F.col("label").alias("lb"), F.col("rep").alias("b"), F.col("n").alias("nb"))
-    met = one.join(two, "token").where(f"la < lb AND a != b AND 100 * na >= {pct} * nb AND 100 * nb >= {pct} * na")
-    met = _sharing(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), prefixes, pct)
-    since = staged_so_far()
-    first = stage(_verified(met, docs, n_gram, pct).unionByName(first), "second")
-    release(spark, since)
-
     # all other candidates: members that are still apart, of tokens that more than one component has
     posts = stage(_open_posts(posts, components(first)), "posts")
-    groups = stage(posts.groupBy("token", "label").agg(F.min("n").alias("lo"), F.max("n").alias("hi")), "groups")
-    x, y = groups.alias("x"), groups.alias("y")
-    meet = x.join(y, F.expr(f"x.token = y.token AND x.label < y.label AND 100 * x.hi >= {pct} * y.lo "
-                            f"AND 100 * y.hi >= {pct} * x.lo"))
-    meet = meet.select("x.token", F.col("x.label").alias("la"), F.col("y.label").alias("lb"))
-    one = posts.select("token", F.col("label").alias("la"), F.col("rep").alias("a"), F.col("n").alias("na"),
-                       F.col("m").alias("ma"), F.col("p").alias("pa"))
-    two = posts.select("token", F.col("label").alias("lb"), F.col("rep").alias("b"), F.col("n").alias("nb"),
-                       F.col("m").alias("mb"), F.col("p").alias("pb"))
-    pairs = meet.join(one, ["token", "la"]).join(two, ["token", "lb"])
-    pairs = pairs.where(f"100 * na >= {pct} * nb AND 100 * nb >= {pct} * na")
-    # texts of one id that agree in these are counted together, which makes candidates of them at most
-    pairs = pairs.groupBy("a", "b", "na", "nb", "pa", "pb", "ma", "mb").agg(F.count("*").alias("shared"))
-    pairs = pairs.where(F.col("shared") >= F.least("ma", "mb")).where(_may_reach(
-        F.col("shared"), F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), pct)).select("a", "b").distinct()
+    # the first common token leaves room behind it for the rest of what the sizes ask for: na - pos >= overlap, and nb
+    # likewise. Groups are split by size, so that their bounds are nearly their members'
+    posts = posts.withColumn("slot", F.floor(F.log(F.col("n").cast("double")) * SLOTS_PER_E).cast("int"))
+    groups = stage(posts.groupBy("token", "label", "slot").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("pos")), "groups")
+
+    def room(pos: str, own: str, other: str) -> str:
+        return f"{pos} <= (100L * {own} - {pct} * {other}) div {100 + pct}"
+    meet = groups.alias("x").join(groups.alias("y"), F.expr(
+        f"x.token = y.token AND x.label < y.label AND 100 * x.hi >= {pct} * y.lo AND 100 * y.hi >= {pct} * x.lo "
+        f"AND {room('x.pos', 'x.hi', 'y.lo')} AND {room('y.pos', 'y.hi', 'x.lo')}"))
+    meet = meet.select("x.token", F.col("x.label").alias("la"), F.col("y.label").alias("lb"), F.col("x.slot").alias("ta"),
+                       F.col("y.slot").alias("tb"), F.col("y.lo").alias("least_nb"))
+    one = posts.select("token", F.col("label").alias("la"), F.col("slot").alias("ta"), F.col("rep").alias("a"),
+                       F.col("n").alias("na"), F.col("pos").alias("qa"))
+    two = posts.select("token", F.col("label").alias("lb"), F.col("slot").alias("tb"), F.col("rep").alias("b"),
+                       F.col("n").alias("nb"), F.col("pos").alias("qb"))
+    at = [F.col(f"g.{c}") == F.col(f"o.{c}") for c in ("token", "la", "ta")]
+    pairs = meet.alias("g").join(one.alias("o"), at[0] & at[1] & at[2] & F.expr(room("qa", "na", "least_nb")))
+    pairs = pairs.select("g.token", "lb", "tb", "a", "na", "qa")
+    at = [F.col(f"g.{c}") == F.col(f"o.{c}") for c in ("token", "lb", "tb")]
+    pairs = pairs.alias("g").join(two.alias("o"), at[0] & at[1] & at[2] & F.expr(
+        f"100 * na >= {pct} * nb AND 100 * nb >= {pct} * na AND {room('qa', 'na', 'nb')} AND {room('qb', 'nb', 'na')}"))
+    pairs = _sharing(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(),
+                     prefixes, pct)
     since = staged_so_far()
     rest = stage(_verified(pairs, docs, n_gram, pct), "rest")
     release(spark, since)
