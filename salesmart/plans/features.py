@@ -18,6 +18,7 @@ from salesmart.plans.catalog import Inputs
 from salesmart.plans.deals import DM_DEALS_COLUMNS, dm_sales_staff_deals, sales_report_rows
 from salesmart.plans.units import unit
 from salesmart.sources.ingest import RAW, IngestTable, Landed
+from salesmart.sources.intervals import compact, expand
 from salesmart.sources.snapshot import snapshot_day_filter
 from salesmart.streaming import edits as E
 from salesmart.streaming.incremental import scratch_folder
@@ -76,6 +77,16 @@ def _s10_quarantine(i: Inputs) -> DataFrame:
     return _ingested(i).quarantine(i.fx.spark).select(RAW, "reason")
 
 
+# --- S2 / P1: the snapshot as intervals ---------------------------------------------------
+
+@unit("src_daily_personnel_intervals", O.q("SELECT * FROM daily_personnel"))
+def _s2_intervals(i: Inputs) -> DataFrame:
+    """The snapshot of all days, from its validity intervals."""
+    snapshot = i.snapshot()
+    days = i.fx.presence.select("date").distinct()
+    return expand(compact(snapshot, days), days)
+
+
 # --- R1: edited, moved and withdrawn records --------------------------------------------
 
 def _first_versions(records: DataFrame) -> DataFrame:
