@@ -288,6 +288,22 @@ def p7_sql(as_of: dt.date = AS_OF, base: list | None = None) -> str:
     return q(sel, *p7_ctes(as_of), base=base)
 
 
+def p7_daily_sql() -> str:
+    """P7 of every snapshot day, counted day by day."""
+    ctes = dict(p7_ctes())
+    ctes["worker"] = f"""SELECT date, id, position, department, office = {RENTAL} AS rental, experience AS t,
+ COALESCE(department ILIKE 'Команда%' OR department = 'Отдел коммерческой недвижимости', FALSE) AS team
+ FROM daily_personnel WHERE is_active AND company = {HOME} AND office IS NOT NULL"""
+    ctes["member"] = ctes["member"].replace("SELECT a.id", "SELECT a.date, a.id")
+    ctes["fresh"] = ctes["fresh"].replace("SELECT id", "SELECT date, id")
+    sel = """SELECT CAST(date - INTERVAL 1 DAY AS DATE) AS date, users_count, exp FROM (
+ SELECT date, COUNT(id) AS users_count, CAST(t AS VARCHAR) AS exp FROM fresh GROUP BY date, t
+ UNION ALL SELECT s.date, IF(s.null_if_empty, NULLIF(COUNT(m.id), 0), COUNT(m.id)), s.label
+ FROM (SELECT * FROM (SELECT DISTINCT date FROM presence), bucket) s
+ LEFT JOIN member m ON m.label = s.label AND m.date = s.date GROUP BY s.date, s.label, s.null_if_empty)"""
+    return q(sel, *ctes.items())
+
+
 # --- P8, P9 ---------------------------------------------------------------------
 
 P8_SELECT = f"""SELECT realization_date, kind AS property_type, CAST(SUM(income) AS DECIMAL(28,2)) AS income,

@@ -1,4 +1,5 @@
-"""Queries of the ingest, of incremental refresh by record versions, of reconciliation and of the hot-key lookup.
+"""Queries of the ingest, of incremental refresh by record versions, of reconciliation, of the hot-key and as-of lookups,
+of the head count over days and of the drill path's levels.
 
 Each prepares its state from the given tables in a scratch folder of the checkpoint directory, runs the library's
 operator on it, and returns the outcome; the oracle SQL states what the outcome has to be.
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 
 from salesmart import oracle as O
 from salesmart.operators import versioned as V
+from salesmart.operators.asof_join import asof_lookup
 from salesmart.operators.hot_join import hot_left_lookup
 from salesmart.operators.reconcile import reconcile_table
 from salesmart.plans import sinks as S
+from salesmart.plans.access import DRILL_PATH, drilldown_levels
 from salesmart.plans.catalog import Inputs
 from salesmart.plans.deals import DM_DEALS_COLUMNS, dm_sales_staff_deals, sales_report_rows
+from salesmart.plans.headcount_history import headcount_history
 from salesmart.plans.units import unit
 from salesmart.sources.ingest import RAW, IngestTable, Landed
 from salesmart.sources.intervals import compact, expand
@@ -87,6 +91,53 @@ def _s2_intervals(i: Inputs) -> DataFrame:
     return expand(compact(snapshot, days), days)
 
 
+# --- P7 over all days, P6's values as known then, R3's levels --------------------------------
+
+@unit("headcount_history", O.p7_daily_sql())
+def _p7_history(i: Inputs) -> DataFrame:
+    """The head count of every snapshot day, in one sweep over the intervals of the snapshot."""
+    days = i.fx.presence.select("date").distinct()
+    return headcount_history(compact(i.snapshot(), days), days, i.rules)
+
+
+_MONTH_END = "CAST(last_day(make_date(year, month, 1)) AS DATE)"
+
+
+@unit("join_metric_asof", O.q(
+    f"""SELECT p.*, o.objects_count, o.objects_since, r.income, r.deal_date FROM (SELECT *, {_MONTH_END} AS month_end FROM (
+  SELECT DISTINCT id, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month FROM daily_personnel
+  WHERE day(date) = 5)) p
+ ASOF LEFT JOIN (SELECT responsible_id AS id, {_MONTH_END} AS objects_since, objects_count FROM monthly_objects) o
+  ON o.id = p.id AND o.objects_since <= p.month_end
+ ASOF LEFT JOIN (SELECT responsible_id AS id, realization_date AS deal_date, CAST(SUM(income) AS DECIMAL(28,2)) AS income
+  FROM accounting WHERE realization_date IS NOT NULL GROUP BY ALL) r ON r.id = p.id AND r.deal_date <= p.month_end"""))
+def _j6_asof(i: Inputs) -> DataFrame:
+    """Each person-month with the objects and the last deal day's income as known at the month's end."""
+    people = i.snapshot(snapshot_day_filter(i.rules)).select(
+        "id", F.year("date").alias("year"), F.month("date").alias("month")).distinct().withColumn(
+        "month_end", F.expr(_MONTH_END))
+    objects = i.fx.monthly_objects.select(F.col("responsible_id").alias("id"), F.expr(_MONTH_END).alias("at"), "objects_count")
+    deals = i.accounting.groupBy(F.col("responsible_id").alias("id"), F.col("realization_date").alias("at")).agg(
+        F.sum("income").cast("decimal(28,2)").alias("income"))
+    with_objects = asof_lookup(people, objects, ["id"], "month_end", "at", ["objects_count"], "objects_since")
+    return asof_lookup(with_objects, deals, ["id"], "month_end", "at", ["income"], "deal_date")
+
+
+_PLACE = "[company, department, CAST(user_id AS VARCHAR), property_type]"
+_SETS = ", ".join(f"({', '.join(['year', 'month', *DRILL_PATH[:k]])})" for k in range(len(DRILL_PATH) + 1))
+
+
+@unit("drilldown_levels", O.q(
+    f"""SELECT year, month, level, CAST(to_json({_PLACE}[1:level]) AS VARCHAR) AS node,
+ IF(level > 0, CAST(to_json({_PLACE}[1:level - 1]) AS VARCHAR), NULL) AS parent, {', '.join(DRILL_PATH)}, deal_count, deal_income
+ FROM (SELECT year, month, {', '.join(DRILL_PATH)},
+  CAST({len(DRILL_PATH)} - {' - '.join(f'GROUPING({c})' for c in DRILL_PATH)} AS INTEGER) AS level,
+  COUNT(*) AS deal_count, CAST(SUM(income) AS DECIMAL(28,2)) AS deal_income
+  FROM dm WHERE ata_id IS NOT NULL AND property_type IS NOT NULL GROUP BY GROUPING SETS ({_SETS}))""", *O.P2_CTES))
+def _r3_levels(i: Inputs) -> DataFrame:
+    return drilldown_levels(i.p2())
+
+
 # --- R1: edited, moved and withdrawn records --------------------------------------------
 
 def _first_versions(records: DataFrame) -> DataFrame:

@@ -29,35 +29,50 @@ def daily_personnel(users: DataFrame, calendar: DataFrame, rules: Rules = DEFAUL
 
 # --- P7 head count ----------------------------------------------------------
 
-def _headcount_conditions(rules: Rules):
+#: agents with a tenure below this many months are counted by month
+FRESH_BELOW = 7
+
+
+def headcount_buckets(rules: Rules):
+    """The agents who are counted by tenure month, and label -> (who, least tenure, most tenure, empty gives NULL not 0)."""
     dept, pos, office = F.col("department"), F.col("position"), F.col("office")
-    tenure = F.col("tenure")
     sales_office = office != rules.rental_office
     rental_office = office == rules.rental_office
     sales_team = dept.ilike(R.SALES_TEAM_PREFIX + "%") | dept.isin(R.COMMERCIAL_DEPARTMENT)
     agents = sales_office & sales_team & pos.isin(*R.AGENT_POSITIONS)
     rental_specialist = rental_office & (pos == R.RENTAL_SPECIALIST_POSITION)
-    # label -> (condition, empty bucket gives NULL instead of 0)
-    fixed = {
-        ">24": (agents & (tenure > 24), True),
-        "7-12": (agents & tenure.between(7, 12), True),
-        "13-24": (agents & tenure.between(13, 24), True),
-        "Менеджеры ОП": (sales_office & sales_team & (pos == R.SALES_MANAGER_POSITION), False),
-        "Помощники ОП": (sales_office & sales_team & pos.isin(*R.ASSISTANT_POSITIONS), False),
-        "Декрет": (sales_office & (pos == R.SENIOR_AGENT_POSITION), False),
-        "Группа 0": (sales_office & (pos == R.AGENT_POSITION), False),
+    buckets = {
+        ">24": (agents, 25, None, True),
+        "7-12": (agents, 7, 12, True),
+        "13-24": (agents, 13, 24, True),
+        "Менеджеры ОП": (sales_office & sales_team & (pos == R.SALES_MANAGER_POSITION), None, None, False),
+        "Помощники ОП": (sales_office & sales_team & pos.isin(*R.ASSISTANT_POSITIONS), None, None, False),
+        "Декрет": (sales_office & (pos == R.SENIOR_AGENT_POSITION), None, None, False),
+        "Группа 0": (sales_office & (pos == R.AGENT_POSITION), None, None, False),
         "АУП ОП": (~dept.ilike(R.SALES_TEAM_PREFIX + "%") & ~dept.isin(*R.NON_ADMIN_DEPARTMENTS)
-                   & sales_office & ~pos.isin(*R.ASSISTANT_POSITIONS), False),
-        "Менеджеры ОА": (rental_office & (pos == R.RENTAL_MANAGER_POSITION), False),
-        "Помощники ОА": (rental_office & (pos == R.RENTAL_ASSISTANT_POSITION), False),
-        "АУП ОА": (rental_office & pos.isin(*R.RENTAL_ADMIN_POSITIONS), False),
-        ">6": (rental_specialist & (tenure > 6), False),
-        "0-3": (rental_specialist & tenure.between(0, 3), False),
-        "4-6": (rental_specialist & tenure.between(4, 6), False),
+                   & sales_office & ~pos.isin(*R.ASSISTANT_POSITIONS), None, None, False),
+        "Менеджеры ОА": (rental_office & (pos == R.RENTAL_MANAGER_POSITION), None, None, False),
+        "Помощники ОА": (rental_office & (pos == R.RENTAL_ASSISTANT_POSITION), None, None, False),
+        "АУП ОА": (rental_office & pos.isin(*R.RENTAL_ADMIN_POSITIONS), None, None, False),
+        ">6": (rental_specialist, 7, None, False),
+        "0-3": (rental_specialist, 0, 3, False),
+        "4-6": (rental_specialist, 4, 6, False),
     }
-    assert tuple(fixed) == R.HEADCOUNT_LABELS
-    monthly = agents & (tenure < 7)
-    return monthly, fixed
+    assert tuple(buckets) == R.HEADCOUNT_LABELS
+    return agents, buckets
+
+
+def _headcount_conditions(rules: Rules):
+    """The same as conditions on a row with its tenure."""
+    tenure = F.col("tenure")
+    agents, buckets = headcount_buckets(rules)
+
+    def within(who, lo, hi):
+        who = who if lo is None else who & (tenure >= lo)
+        return who if hi is None else who & (tenure <= hi)
+
+    return agents & (tenure < FRESH_BELOW), {
+        label: (within(who, lo, hi), empty_null) for label, (who, lo, hi, empty_null) in buckets.items()}
 
 
 def operational_headcount(users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
