@@ -55,12 +55,23 @@ def staff_on_snapshot_day(daily_personnel: DataFrame, rules: Rules = DEFAULT_RUL
              "experience", "company", F.year("date").alias("year"), F.month("date").alias("month"))
 
 
+#: The order of a month's deals: by date and record id, as the report has it; the rest decides between records of one id.
+#: No two rows of ``valid_deals`` agree in all of it.
+RECORD_ORDER = ["realization_date", "ata_id", "income", "contract_name", "deal_order"]
+
+
+def _deal_order() -> Column:
+    """The deal id as a number that is never NULL, so that its minimum stays in the hash aggregate."""
+    return F.coalesce(F.col("deal_id"), F.lit(-2**63))
+
+
 def deal_months(accounting: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Person-months with a closed deal and the smallest (date, record id) of each: one aggregate, combined map-side."""
+    """Person-months with a closed deal and the smallest RECORD_ORDER of each: one aggregate, combined map-side."""
     records = home_sales_records(accounting, rules).select(
         F.col("responsible_id").alias("user_id"), F.year("realization_date").alias("year"),
-        F.month("realization_date").alias("month"), "realization_date", F.col("id").alias("ata_id"))
-    return group_minimum(records, PERSON_MONTH, ["realization_date", "ata_id"])
+        F.month("realization_date").alias("month"), "realization_date", F.col("id").alias("ata_id"), "income",
+        "contract_name", _deal_order().alias("deal_order"))
+    return group_minimum(records, PERSON_MONTH, RECORD_ORDER)
 
 
 def newcomers(accounting: DataFrame, users: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -84,16 +95,33 @@ def valid_deals(accounting: DataFrame, deal: DataFrame, objects: DataFrame, bid:
     """Closed home-company deals with their property type (contract name as fallback).
 
     Rows are distinct with their contract name, which the result leaves out:
-    two records that differ only there stay two.  The distinct deals its rows by
-    all columns, so a busy person-month spreads over the tasks.
+    two records that differ only there stay two.  Rows are made distinct by
+    all columns, so a busy person-month spreads over the tasks; of the records
+    that become one row the smallest deal id stands for it (``deal_order``).
     """
     records = home_sales_records(accounting, rules).select(
         "realization_date", F.year("realization_date").alias("year"), F.month("realization_date").alias("month"),
         F.col("responsible_id").alias("user_id"), "income", F.col("id").alias("ata_id"), "contract_name", "deal_id")
     typed = with_property_type(records, deal, objects, bid, out="object_property")
-    return typed.drop("deal_id").distinct().select(
+    distinct = typed.groupBy(*[c for c in typed.columns if c != "deal_id"]).agg(F.min(_deal_order()).alias("deal_order"))
+    return distinct.select(
         "realization_date", "year", "month", "user_id", "income", "ata_id",
-        F.coalesce("object_property", "contract_name").alias("property_type"))
+        F.coalesce("object_property", "contract_name").alias("property_type"), "contract_name", "deal_order")
+
+
+def sales_staff(daily_personnel: DataFrame, accounting: DataFrame, users: DataFrame,
+                rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Distinct staff rows of each person-month, the smallest of them marked by ``leads``.
+
+    A person-month has the row of its snapshot day and the newcomer's row at
+    most, so the set that is sorted has two rows, whoever it is.  The rows stay
+    laid out by person-month for the join with the months' first deals.
+    """
+    rows = staff_on_snapshot_day(daily_personnel, rules).unionByName(newcomers(accounting, users, rules))
+    others = [c for c in rows.columns if c not in PERSON_MONTH]
+    held = rows.groupBy(*PERSON_MONTH).agg(F.sort_array(F.collect_set(F.struct(*others))).alias("held"))
+    return held.select(*PERSON_MONTH, F.posexplode("held").alias("n", "r")).select(
+        *[F.col("r")[c].alias(c) if c in others else F.col(c) for c in rows.columns], (F.col("n") == 0).alias("leads"))
 
 
 def _month_number() -> Column:
@@ -107,7 +135,8 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
 
     ``is_first_valid_deal`` marks the month's earliest deal (date, then record
     id) when it is dated, typed and not a rental; if the earliest deal is a
-    rental nobody is flagged that month.
+    rental nobody is flagged that month.  Exactly one row is the earliest, also
+    where records share an id or a person has two staff rows in the month.
 
     ``only`` (user_id, year, month) restricts the computation to those
     person-months (semi joins on the snapshot and the records); the rows of a
@@ -116,8 +145,8 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     if only is not None:
         from salesmart.plans.activity import restrict_to
         daily_personnel, accounting = restrict_to(daily_personnel, accounting, only)
-    staff = (staff_on_snapshot_day(daily_personnel, rules)
-             .unionByName(newcomers(accounting, users, rules)).distinct())
+    staff = sales_staff(daily_personnel, accounting, users, rules)
+    staff_columns = [c for c in staff.columns if c != "leads"]
     deals = valid_deals(accounting, deal, objects, bid, rules)
     # Months without a minimum have no deals.  The two branches read the same subtree of staff and minimum.
     staff_first = staff.join(deal_months(accounting, rules), PERSON_MONTH, "left")
@@ -125,13 +154,13 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     # from a shuffle of their own and AQE can split a busy person-month.
     by_month = staff_first.withColumn("_n", _month_number())
     deals = deals.withColumn("_n", _month_number()).drop("year", "month")
-    is_first = F.struct("realization_date", "ata_id").eqNullSafe(F.col(FIRST))
+    is_first = F.col("leads") & F.struct(*RECORD_ORDER).eqNullSafe(F.col(FIRST))
     valid_first = is_first & F.col("property_type").isNotNull() & ~M.is_rental_text("property_type", rules)
     with_deals = by_month.join(deals, ["user_id", "_n"], "inner").select(
-        *staff.columns, "realization_date", "income", "ata_id", "property_type",
+        *staff_columns, "realization_date", "income", "ata_id", "property_type",
         F.when(valid_first, 1).otherwise(0).alias("is_first_valid_deal"))
     without = staff_first.where(F.col(FIRST).isNull()).select(
-        *staff.columns, F.lit(None).cast("date").alias("realization_date"),
+        *staff_columns, F.lit(None).cast("date").alias("realization_date"),
         F.lit(None).cast(deals.schema["income"].dataType).alias("income"),
         F.lit(None).cast("long").alias("ata_id"), F.lit(None).cast("string").alias("property_type"),
         F.lit(0).alias("is_first_valid_deal"))

@@ -154,3 +154,39 @@ def test_key_values_sums_metrics_and_rejects_duplicate_metric_keys(spark):
     assert (row.all_sum, row.all_objects, row.avician) == (8 + 4 + 1, 4, 1)
     with pytest.raises(Exception, match="duplicate key in metric relation deal_count"):
         activity.key_values(dp, _metrics(spark, "deal_count"), Rules(as_of=D(2000, 6, 20))).collect()
+
+
+def test_one_first_deal_where_records_share_an_id(spark):
+    """Records of one id that differ in contract, in money or in nothing the report shows: one row is the first."""
+    users = spark.createDataFrame([user(spark, 1)], USERS)
+    dp = daily_personnel_history(users, spark.createDataFrame([(D(2000, 3, 5),)], "date date"))
+    sale, day = "Договор купли-продажи", D(2000, 3, 10)
+    _, objects, bid = empty_dims(spark)
+    deal = spark.createDataFrame([(5, None, None, None, None, "Квартира"), (6, None, None, None, None, "Дом")],
+                                 empty_dims(spark)[0].schema)
+    # records 10: a type from the deal each, or their contract name; two of them differ only in the name the report hides
+    cases = [
+        [record(10, 1, day, sale), record(10, 1, day, "Договор уступки")],
+        [record(10, 1, day, sale, income="1.00"), record(10, 1, day, sale, income="2.00")],
+        [record(10, 1, day, sale, deal_id=5), record(10, 1, day, "Договор уступки", deal_id=5)],
+        [record(10, 1, day, sale, deal_id=5), record(10, 1, day, sale, deal_id=6), record(10, 1, day, sale)],
+        [record(10, 1, day, sale), record(10, 1, day, sale), record(10, 1, day, sale, deal_id=9)],
+    ]
+    for want, recs in zip([2, 2, 2, 3, 1], cases):
+        recs = spark.createDataFrame([*recs, record(11, 1, day, sale)], ACCOUNTING)
+        out = deals.dm_sales_staff_deals(dp, users, recs, deal, objects, bid).collect()
+        assert sorted(r.ata_id for r in out) == [10] * want + [11]
+        assert [(r.ata_id, r.is_first_valid_deal) for r in out if r.is_first_valid_deal] == [(10, 1)]
+
+
+def test_one_first_deal_of_a_person_with_two_staff_rows(spark):
+    """The snapshot knew an earlier start than the staff table has now: a snapshot row and a newcomer's row."""
+    now = spark.createDataFrame([user(spark, 1, start=D(2000, 3, 1))], USERS)
+    then = spark.createDataFrame([user(spark, 1)], USERS)
+    dp = daily_personnel_history(then, spark.createDataFrame([(D(2000, 3, 5),), (D(2000, 4, 5),)], "date date"))
+    recs = spark.createDataFrame([record(10, 1, D(2000, 3, 10), "Договор купли-продажи"),
+                                  record(11, 1, D(2000, 3, 11), "Договор купли-продажи")], ACCOUNTING)
+    out = deals.dm_sales_staff_deals(dp, now, recs, *empty_dims(spark)).collect()
+    assert sorted((r.month, r.ata_id, r.experience, r.is_first_valid_deal) for r in out if r.month == 3) == [
+        (3, 10, 0, 1), (3, 10, 14, 0), (3, 11, 0, 0), (3, 11, 14, 0)]
+    assert [(r.ata_id, r.is_first_valid_deal) for r in out if r.month == 4] == [(None, 0)]
