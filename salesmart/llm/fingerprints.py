@@ -4,13 +4,16 @@ A sketch is the sorted array of the k smallest distinct hashes of a text's five-
 into the sketch of the whole; two sketches estimate resemblance and containment, one estimates the number of distinct
 shingles. Everything is built-in SQL functions. With fewer than k distinct shingles all estimates are exact.
 
-``with_next`` gives each document its successor in descending id order without a global sort in one task: ids are cut
-into ranges of equal depth, the first document of a range is repeated as a ghost row at the end of the range before
-(cyclically), and a window inside each range looks one row ahead.
+``with_next`` gives each document its successor in descending id order without a global sort in one task. Only narrow
+keys, the id and a hash of the text, are sorted, over as many partitions as they need; every RANGE_ROWS-th key heads a
+range, so the ranges grow in number and not in size. Each document finds its range by halving the sorted heads, in two
+levels of GROUP; the head of a range is repeated as a ghost row at the end of the range before (cyclically), and a window
+inside each range looks one row ahead. Whole texts are shuffled once. There are at most MAX_RANGES heads (and one for
+each SORTED_ROWS keys) of 16 bytes; only beyond RANGE_ROWS * MAX_RANGES documents ranges become longer.
 
 Defined cases: null text counts as empty; an empty sketch resembles another empty one fully and others not at all;
 fewer than five words form one shingle; null ids come after all others; rows that repeat an id are ordered by the hash
-of their text; a table of one row is its own successor; an empty table gives an empty result; extra columns are ignored.
+of their text, also where an id or no id is that of very many rows; a table of one row is its own successor; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,14 +21,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import crosscheck_columns, let, shingle_hashes, table, words
+from salesmart.llm.common import Scratch, crosscheck_columns, let, shingle_hashes, table, words
 
 K = 128
 SHINGLE = 5
-#: Rows in a range on average, and ranges at most (what the driver sees is one id for each).
-RANGE_ROWS = 4096
-MAX_RANGES = 1024
+#: Rows in a range; ranges at most (their heads are broadcast); keys that one task sorts.
+RANGE_ROWS = 2048
+MAX_RANGES = 1 << 20
+SORTED_ROWS = 1 << 20
+#: Heads in a group; the driver sees the first one of each group.
+GROUP = 1024
 _LAST = -(1 << 63)
+_IN_PARTITION = (1 << 33) - 1
 
 
 def sketch(text: Column, k: int = K, n: int = SHINGLE) -> Column:
@@ -62,42 +69,50 @@ def to_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def _ranges(keys: DataFrame, rows: int, most: int) -> tuple[list[int], list[tuple[int, int]]]:
-    """Cut points of the ids, and (range, id of the first row of the next range): at most ``most`` of either."""
-    n = min(most, -(-keys.count() // rows))
-    points = [i / n for i in range(1, n)]
-    cuts = sorted({int(c) for c in keys.approxQuantile("k", points, 0.1 / n)}) if points else []
-    tops = keys.groupBy(_range("k", cuts).alias("r")).agg(F.max("k").alias("k")).collect()  # a row for each range
-    tops = sorted((t.r, t.k) for t in tops)
-    return cuts, [(r, tops[(i + 1) % len(tops)][1]) for i, (r, _) in enumerate(tops)]
+def _heads(keys: DataFrame, range_rows: int, max_ranges: int) -> DataFrame:
+    """One row: the sorted array of the keys (o, h) that head a range."""
+    n = keys.count()
+    every = max(range_rows, -(-n // max_ranges))
+    dealt = keys.repartitionByRange(max(1, -(-n // SORTED_ROWS)), "o", "h").sortWithinPartitions("o", "h")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))
+    heads = dealt.withColumn("place", place).where(F.col("place") % every == 0)
+    return heads.agg(F.array_sort(F.collect_set(F.struct("o", "h"))).alias("heads"))
 
 
-def _range(key: str, cuts: list[int]) -> Column:
-    """Number of cut points at or above the key: 0 holds the largest ids. Found by halving the list."""
-    if not cuts:
-        return F.lit(0)
-
-    def find(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(len(cuts) - lo)
-        mid = (lo + hi) // 2
-        return f"IF({key} <= {cuts[mid]}, {find(lo, mid)}, {find(mid + 1, hi)})"
-    return F.expr(find(0, len(cuts)))
+def _range(key: Column, heads: Column) -> Column:
+    """Number of the range of a key: the heads at or below it, found by halving, less one."""
+    def find(all_heads):
+        def step(at, _):
+            mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+            right = (at["lo"] < at["hi"]) & (F.get(all_heads, mid) <= key)
+            return F.struct(F.when(right, mid + 1).otherwise(at["lo"]).alias("lo"),
+                            F.when(right | (at["lo"] >= at["hi"]), at["hi"]).otherwise(mid).alias("hi"))
+        start = F.struct(F.lit(0).alias("lo"), F.size(all_heads).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(31)), start, step)["lo"] - 1
+    return let(heads, find)
 
 
 def with_next(docs: DataFrame, range_rows: int = RANGE_ROWS, max_ranges: int = MAX_RANGES) -> tuple[DataFrame, Window]:
-    """(k, doc_id, text, ghost, r) rows with ghosts, and the window in which the next row is the successor."""
+    """(o, h, doc_id, text, r, ghost) rows with ghosts, and the window in which the next row is the successor."""
     crosscheck_columns(docs, "doc_id", "text")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("k")
-    rows = docs.select(key, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts, firsts = _ranges(docs.select(key), range_rows, max_ranges)
-    rows = rows.withColumn("ghost", F.lit(False)).withColumn("r", _range("k", cuts))
-    spark = docs.sparkSession
-    heads = spark.createDataFrame(firsts or [(0, 0)], "to_r int, head long")  # at most max_ranges rows
-    ghosts = (rows.join(F.broadcast(heads), rows.k == heads["head"])
-              .select("k", "doc_id", "text", F.lit(True).alias("ghost"), F.col("to_r").alias("r")))
-    window = Window.partitionBy("r").orderBy("ghost", F.desc("k"), F.xxhash64("text"))
-    return rows.unionByName(ghosts), window
+    text = F.coalesce("text", F.lit(""))
+    # ascending o is descending id, with null ids last
+    order = F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).alias("o")
+    rows = docs.select(order, F.xxhash64(text).alias("h"), "doc_id", text.alias("text"))
+    heads = Scratch(docs.sparkSession).stage(_heads(rows.select("o", "h"), range_rows, max_ranges), "heads")
+    ghosts = heads.select(F.size("heads").alias("m"), F.posexplode("heads").alias("i", "head")).select(
+        F.pmod(F.col("i") - 1, F.col("m")).alias("r"), F.col("head.o").alias("o"), F.col("head.h").alias("h"))
+    # max_ranges rows at most, and one text of each
+    ghosts = rows.join(F.broadcast(ghosts), ["o", "h"]).withColumn("ghost", F.lit(True)).dropDuplicates(["r"])
+    starts = F.sequence(F.lit(0), F.greatest(F.size("heads") - 1, F.lit(0)), F.lit(GROUP))
+    groups = heads.select(F.posexplode(F.transform(starts, lambda i: F.slice("heads", i + 1, GROUP))).alias("g", "fine"))
+    firsts = heads.select(F.transform(starts, lambda i: F.get("heads", i)).alias("firsts")).first().firsts
+    firsts = ", ".join(f"named_struct('o', {f.o}L, 'h', {f.h}L)" for f in firsts if f) or "named_struct('o', 0L, 'h', 0L)"
+    key = F.struct("o", "h")
+    rows = rows.withColumn("g", _range(key, F.expr(f"array({firsts})"))).join(F.broadcast(groups), "g")
+    rows = rows.withColumn("r", F.col("g") * GROUP + _range(key, F.col("fine"))).drop("g", "fine")
+    rows = rows.withColumn("ghost", F.lit(False))
+    return rows.unionByName(ghosts), Window.partitionBy("r").orderBy("ghost", "o", "h")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, n: int = SHINGLE) -> DataFrame:
