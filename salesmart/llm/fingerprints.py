@@ -13,7 +13,8 @@ each SORTED_ROWS keys) of 16 bytes; only beyond RANGE_ROWS * MAX_RANGES document
 
 Defined cases: null text counts as empty; an empty sketch resembles another empty one fully and others not at all;
 fewer than five words form one shingle; null ids come after all others; rows that repeat an id are ordered by the hash
-of their text, also where an id or no id is that of very many rows; a table of one row is its own successor; an empty table gives an empty result; extra columns are ignored.
+of their text, so an id of very many rows spreads too; a table of one row is its own successor; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -4,8 +4,12 @@ The model draws pieces of an existing vocabulary independently, until the end sy
 boundary mark, which only the first piece of a word can hold, so a text's marginal probability is the product of its
 words' marginals and of the end. A word's marginal sums all its segmentations by a forward recursion in log space;
 characters that the vocabulary lacks are spelled by its byte pieces. The vocabulary's own scores (merge ranks) give
-the piece weights to begin with and stay in as a prior; corpus word counts of the learning documents then adapt them
-by expectation-maximisation over the same lattice.
+the piece weights to begin with; corpus word counts of the learning documents then adapt them by
+expectation-maximisation over the same lattice. The scores stay in as a prior that grows with the corpus: they make up
+SHARE of the pieces counted, so they decide how pieces that the corpus lacks weigh against each other at every size.
+
+Recursions run in blocks of BLOCK places. Scoring keeps the last few alphas only; learning keeps those at each block's
+start and makes a block's alphas anew on the way back, so a word of any length takes little memory.
 
 The base score needs the learning count of every token. The HOT_WORDS most frequent words (a list of bounded size) are
 looked up in the scan; all others are joined with the whole count table, so the result is exact for every word.
@@ -18,6 +22,7 @@ an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,8 +36,11 @@ from salesmart.llm.common import (ID, crosscheck_columns, lower_ascii, packed_id
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 2
-#: Weight of the vocabulary's own scores against corpus counts, in pieces.
+#: Weight of the vocabulary's own scores against corpus counts: a share of the pieces counted, and pieces at least.
+SHARE = 0.01
 PRIOR = 1000.0
+#: Places of a word in one block of the recursions.
+BLOCK = 4096
 HOT_WORDS = 131072
 HOT_CHARS = 64
 MARK = "▁"
@@ -68,51 +76,68 @@ class Lattice:
             out.append((j - 1, sum(self._bytes[b] for b in s[j - 1].encode("utf-8", "replace")), None))
         return out
 
-    def _forward(self, s: str) -> tuple[list[float], list]:
-        alpha, edges = [0.0], [None]
-        for j in range(1, len(s) + 1):
+    def _forward(self, s: str, lo: int, before: list[float]) -> tuple[list[float], int, list]:
+        """Alphas of the block of places after lo, after the ones before; the first one's place; the block's edges."""
+        alpha, first, edges = list(before), lo - len(before) + 1, []
+        for j in range(lo + 1, min(lo + BLOCK, len(s)) + 1):
             e = self._edges(s, j)
-            v = [alpha[i] + w for i, w, _ in e]
+            v = [alpha[i - first] + w for i, w, _ in e]
             top = max(v)
             alpha.append(top + math.log(sum([math.exp(x - top) for x in v])) if len(v) > 1 else top)
             edges.append(e)
-        return alpha, edges
+        return alpha, first, edges
 
     def log10(self, word: str) -> float:
         """log10 of the marginal probability of one word."""
         self._logs()
         got = self._seen.get(word)
         if got is None:
-            if len(self._seen) >= _CACHE:
-                self._seen.clear()
-            got = self._seen[word] = self._forward(MARK + word)[0][-1] / math.log(10)
+            s, before = MARK + word, [0.0]
+            for lo in range(0, len(s), BLOCK):
+                before = self._forward(s, lo, before)[0][-self._longest:]
+            got = before[-1] / math.log(10)
+            if len(word) <= HOT_CHARS:
+                if len(self._seen) >= _CACHE:
+                    self._seen.clear()
+                self._seen[word] = got
         return got
 
     def expect(self, word: str, times: float, counts: dict[str, float], spelled: np.ndarray) -> None:
         """Add the expected piece counts of a word that occurs so many times."""
-        s = MARK + word
-        alpha, edges = self._forward(s)
-        total, beta = alpha[-1], [-math.inf] * len(s) + [0.0]
-        for j in range(len(s), 0, -1):
-            b = beta[j]
-            if b == -math.inf:
-                continue
-            for i, w, piece in edges[j]:
-                x = w + b
-                share = times * math.exp(alpha[i] + x - total)
-                if piece is None:
-                    for c in s[j - 1].encode("utf-8", "replace"):
-                        spelled[c] += share
-                else:
-                    counts[piece] = counts.get(piece, 0.0) + share
-                old = beta[i]
-                hi, lo = (old, x) if old > x else (x, old)
-                beta[i] = hi if lo == -math.inf else hi + math.log1p(math.exp(lo - hi))
+        self._logs()
+        s, before, heads = MARK + word, [0.0], []
+        for lo in range(0, len(s), BLOCK):
+            heads.append((lo, before))
+            block = self._forward(s, lo, before)
+            before = block[0][-self._longest:]
+        total, beta = before[-1], {len(s): 0.0}
+        for lo, before in reversed(heads):
+            alpha, first, edges = block if lo == heads[-1][0] else self._forward(s, lo, before)
+            for j in range(lo + len(edges), lo, -1):
+                b = beta.pop(j, -math.inf)
+                if b == -math.inf:
+                    continue
+                for i, w, piece in edges[j - lo - 1]:
+                    x = w + b
+                    share = times * math.exp(alpha[i - first] + x - total)
+                    if piece is None:
+                        for c in s[j - 1].encode("utf-8", "replace"):
+                            spelled[c] += share
+                    else:
+                        counts[piece] = counts.get(piece, 0.0) + share
+                    old = beta.get(i, -math.inf)
+                    hi, low = (old, x) if old > x else (x, old)
+                    beta[i] = hi if low == -math.inf else hi + math.log1p(math.exp(low - hi))
 
 
 def read_vocabulary(path: str = VOCABULARY) -> Lattice:
-    """Pieces without white space inside; weights from the file's scores: the rank r (score -r) weighs 1 / (r + 10)."""
+    """Pieces without white space inside; weights from the file's scores: the rank r (score -r) weighs 1 / (r + 10).
+
+    The driver alone reads the file; the tasks get the pieces with their function.
+    """
     import sentencepiece
+    if not os.path.isfile(path):
+        raise FileNotFoundError(f"no vocabulary at {path}: pass the path of a sentencepiece model that the driver can read")
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces, weights, last = [], [], 1.0
     for i in range(sp.get_piece_size()):
@@ -145,7 +170,7 @@ def _expected(model: Lattice):
     return run
 
 
-def adapt(model: Lattice, counts: DataFrame, n_docs: int, rounds: int = ROUNDS, prior: float = PRIOR) -> Lattice:
+def adapt(model: Lattice, counts: DataFrame, n_docs: int, rounds: int = ROUNDS, share: float = SHARE) -> Lattice:
     """Expectation-maximisation over the word counts; what comes back is one number per vocabulary piece."""
     first = model
     # the count table is small in bytes and dear in work: it is dealt to as many tasks as a shuffle has
@@ -153,6 +178,8 @@ def adapt(model: Lattice, counts: DataFrame, n_docs: int, rounds: int = ROUNDS,
     for _ in range(rounds):
         got = counts.mapInPandas(_expected(model), "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         n = {r.piece: r.n for r in got.collect()}
+        # pieces counted, and as many ends as documents
+        prior = max(PRIOR, share / (1 - share) * (math.fsum(n.values()) + n_docs))
         probs = first.probs * prior + np.array([n.get(p, 0.0) for p in first.pieces])
         spelled = first.byte_probs * prior + np.array([n.get(f"{MARK}{MARK}{b}", 0.0) for b in range(256)])
         end = first.end * prior + n_docs
@@ -220,8 +247,8 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
                       F.lit(n_all).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
-def query(spark, sf_dir):
-    return lm_scores(table(spark, sf_dir, "documents"))
+def query(spark, sf_dir, vocabulary: str = VOCABULARY):
+    return lm_scores(table(spark, sf_dir, "documents"), vocabulary)
 
 
 ORACLE = None
