@@ -9,7 +9,9 @@ expectation-maximisation over the same lattice. The scores stay in as a prior th
 SHARE of the pieces counted, so they decide how pieces that the corpus lacks weigh against each other at every size.
 
 Recursions run in blocks of BLOCK places. Scoring keeps the last few alphas only; learning keeps those at each block's
-start and makes a block's alphas anew on the way back, so a word of any length takes little memory.
+start and makes a block's alphas anew on the way back, so a word of any length takes little memory. Words of up to
+WIDE places go through the same recursions many at a time, those of one length together; their pieces are found by 64-bit
+polynomial hashes of all substrings (hashes of the vocabulary are checked to be distinct).
 
 The base score needs the learning count of every token. The HOT_WORDS most frequent words (a list of bounded size) are
 looked up in the scan; all others are joined with the whole count table, so the result is exact for every word.
@@ -24,7 +26,8 @@ from __future__ import annotations
 import math
 import os
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -41,10 +44,40 @@ SHARE = 0.01
 PRIOR = 1000.0
 #: Places of a word in one block of the recursions.
 BLOCK = 4096
+#: Places of a word that goes with others; places of all words in one array; words gathered before they are worked on.
+WIDE = 128
+PLACES = 1 << 16
+GATHERED = 1 << 15
 HOT_WORDS = 131072
 HOT_CHARS = 64
 MARK = "▁"
 _CACHE = 400_000
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(words: list[str], size: int) -> np.ndarray:
+    """Code points of words of one length, a row for each."""
+    return np.array(words, dtype=f"U{size}").view(np.uint32).reshape(len(words), size)
+
+
+def _substrings(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """Hashes of the substrings of length 1, 2, ... by their start."""
+    keys = last = codes.astype(np.uint64) + np.uint64(1)
+    yield keys
+    for n in range(2, min(longest, codes.shape[1]) + 1):
+        keys = keys[:, :-1] * _FACTOR + last[:, n - 1:]
+        yield keys
+
+
+def _groups(words: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Words of one length, with the code points of mark and word, in bounded groups."""
+    words = sorted(words, key=len)
+    for size, same in groupby(words, len):
+        same = list(same)
+        step = max(1, PLACES // (size + 1))
+        for k in range(0, len(same), step):
+            part = same[k:k + step]
+            yield part, _codes([MARK + w for w in part], size + 1)
 
 
 class Lattice:
@@ -52,7 +85,7 @@ class Lattice:
 
     def __init__(self, pieces: list[str], probs: np.ndarray, byte_probs: np.ndarray, end: float):
         self.pieces, self.probs, self.byte_probs, self.end = pieces, probs, byte_probs, end
-        self._log = None
+        self._log = self._places = None
 
     def _logs(self):
         if self._log is None:
@@ -60,10 +93,91 @@ class Lattice:
             self._bytes = [math.log(x) for x in self.byte_probs.tolist()]
             self._longest = max(map(len, self.pieces), default=1)
             self._seen: dict[str, float] = {}
+            self._tables = {}
+            of_length: dict[int, list[int]] = {}
+            for k, p in enumerate(self.pieces):
+                of_length.setdefault(len(p), []).append(k)
+            for n, ks in sorted(of_length.items()):
+                keys = list(_substrings(_codes([self.pieces[k] for k in ks], n), n))[-1][:, 0]
+                order = np.argsort(keys)
+                keys, ks = keys[order], np.array(ks)[order]
+                if (keys[1:] == keys[:-1]).any():
+                    raise ValueError("two pieces of the vocabulary have one hash")
+                self._tables[n] = (keys, ks, np.log(self.probs[ks]))
         return self._log
 
+    def _weights(self, codes: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray], np.ndarray]:
+        """For words of one length: log weights and piece numbers (or -1) by piece length and start; spelled places."""
+        weights, pieces = {}, {}
+        for n, keys in enumerate(_substrings(codes, self._longest), 1):
+            if n in self._tables:
+                known, ks, logs = self._tables[n]
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                weights[n], pieces[n] = np.where(hit, logs[at], -np.inf), np.where(hit, ks[at], -1)
+        if 1 not in weights:
+            weights[1], pieces[1] = np.full(codes.shape, -np.inf), np.full(codes.shape, -1)
+        spelt = pieces[1] < 0
+        for c in np.unique(codes[spelt]):
+            weights[1][spelt & (codes == c)] = sum(self._bytes[b] for b in chr(c).encode("utf-8", "replace"))
+        return weights, pieces, spelt
+
+    @staticmethod
+    def _alphas(weights: dict[int, np.ndarray], size: int) -> list[np.ndarray]:
+        alpha = [np.zeros(len(weights[1]))]
+        for j in range(1, size + 1):
+            alpha.append(np.logaddexp.reduce([alpha[j - n] + w[:, j - n] for n, w in weights.items() if n <= j]))
+        return alpha
+
+    def log10_of(self, words: Iterable[str]) -> dict[str, float]:
+        """log10 of the marginal probability of each word; short ones are remembered."""
+        self._logs()
+        out = {w: self._seen[w] for w in words if w in self._seen}
+        new = [w for w in words if w not in out]
+        if len(self._seen) + len(new) > _CACHE:
+            self._seen.clear()
+        for group, codes in _groups([w for w in new if len(w) < WIDE]):
+            got = self._alphas(self._weights(codes)[0], codes.shape[1])[-1] / math.log(10)
+            out.update(zip(group, got.tolist()))
+        out.update((w, self.log10(w)) for w in new if len(w) >= WIDE)
+        self._seen.update((w, out[w]) for w in new[:_CACHE] if len(w) <= HOT_CHARS)
+        return out
+
+    def expect_all(self, times: dict[str, float], counts: np.ndarray, spelled: np.ndarray) -> None:
+        """Add the expected counts of words: by piece number, and of bytes."""
+        self._logs()
+        for group, codes in _groups([w for w in times if len(w) < WIDE]):
+            size = codes.shape[1]
+            weights, pieces, spelt = self._weights(codes)
+            alpha = self._alphas(weights, size)
+            n_times = np.array([times[w] for w in group])
+            beta = [np.zeros(0)] * size + [np.zeros(len(group))]
+            for i in range(size - 1, -1, -1):
+                beta[i] = np.logaddexp.reduce([w[:, i] + beta[i + n] for n, w in weights.items() if i + n <= size])
+            a, b = np.stack(alpha, 1), np.stack(beta, 1)
+            for n, w in weights.items():
+                share = n_times[:, None] * np.exp(a[:, :size - n + 1] + w + b[:, n:] - a[:, -1:])
+                hit = pieces[n] >= 0
+                counts += np.bincount(pieces[n][hit], share[hit], len(counts))
+                if n == 1:
+                    for c in np.unique(codes[spelt]):
+                        for byte in chr(c).encode("utf-8", "replace"):
+                            spelled[byte] += share[spelt & (codes == c)].sum()
+        for w in times:
+            if len(w) >= WIDE:
+                one: dict[str, float] = {}
+                self.expect(w, times[w], one, spelled)
+                for piece, n in one.items():
+                    counts[self._place(piece)] += n
+
+    def _place(self, piece: str) -> int:
+        if self._places is None:
+            self._places = {p: k for k, p in enumerate(self.pieces)}
+        return self._places[piece]
+
     def __getstate__(self):
-        return {"pieces": self.pieces, "probs": self.probs, "byte_probs": self.byte_probs, "end": self.end, "_log": None}
+        return {"pieces": self.pieces, "probs": self.probs, "byte_probs": self.byte_probs, "end": self.end, "_log": None,
+                "_places": None}
 
     def _edges(self, s: str, j: int) -> list[tuple[int, float, str | None]]:
         """Pieces that end at j: (start, log weight, piece, or None for bytes)."""
@@ -160,13 +274,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def _expected(model: Lattice):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, float] = {}
-        spelled = np.zeros(256)
+        counts, spelled = np.zeros(len(model.pieces)), np.zeros(256)
+        times: dict[str, float] = {}
         for pdf in batches:
-            for word, c in zip(pdf["word"], pdf["c"]):
-                model.expect(word, float(c), counts, spelled)
-        keys = list(counts) + [f"{MARK}{MARK}{b}" for b in range(256)]
-        yield pd.DataFrame({"piece": keys, "n": list(counts.values()) + spelled.tolist()})
+            times.update(zip(pdf["word"], pdf["c"].astype(float)))
+            if len(times) >= GATHERED:
+                model.expect_all(times, counts, spelled)
+                times = {}
+        model.expect_all(times, counts, spelled)
+        some = np.flatnonzero(counts)
+        keys = [model.pieces[k] for k in some] + [f"{MARK}{MARK}{b}" for b in range(256)]
+        yield pd.DataFrame({"piece": keys, "n": counts[some].tolist() + spelled.tolist()})
     return run
 
 
@@ -196,12 +314,14 @@ def _score(model: Lattice, hot: dict[str, int]):
         base = {w.encode(): (c, math.log10(c + 1)) for w, c in hot.items()}
         for pdf in batches:
             out = []
-            for text in pdf["text"]:
-                ws = (text or "").encode("utf-8", "replace").lower().split()
+            texts = [Counter((text or "").encode("utf-8", "replace").lower().split()) for text in pdf["text"]]
+            names = {w: w.decode("utf-8") for w in set().union(*texts)}
+            scores = model.log10_of(names.values())
+            for ws in texts:
                 known, total, score, rest, times = 0, 0.0, end, [], []
-                for w, tf in Counter(ws).items():
-                    word = w.decode("utf-8")
-                    score += tf * model.log10(word)
+                for w, tf in ws.items():
+                    word = names[w]
+                    score += tf * scores[word]
                     got = base.get(w)
                     if got is None:
                         rest.append(word)
@@ -209,7 +329,7 @@ def _score(model: Lattice, hot: dict[str, int]):
                     else:
                         known += tf
                         total += tf * got[1]
-                out.append((len(ws) + 1, known, total, score, rest, times))
+                out.append((ws.total() + 1, known, total, score, rest, times))
             cols = list(zip(*out)) or [[]] * 6
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "no_id": pdf["no_id"].to_numpy(), "held_out": pdf["held_out"].to_numpy(),
                                 "n": cols[0], "known": cols[1], "total": cols[2], "score": cols[3], "rest": cols[4],

@@ -50,3 +50,28 @@ def test_vocabulary_scores_keep_their_share_at_every_size(spark, times):
 def test_a_missing_vocabulary_is_named(spark):
     with pytest.raises(FileNotFoundError, match="/nowhere/v.model"):
         lattice_lm.read_vocabulary("/nowhere/v.model")
+
+
+def test_many_words_at_a_time_equal_one_by_one():
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choice("abéü日") for _ in range(rng.randint(1, 9))) for _ in range(500)})
+    words += ["ab" * 63, "ab" * 64, "aé" * 300, "x\0", "\0"]
+    one, many = lattice(), lattice()
+    got = many.log10_of(words)
+    assert got == pytest.approx({w: one.log10(w) for w in words})
+    assert many.log10_of(words) == got
+    counts, spelled, total, by_bytes = {}, np.zeros(256), np.zeros(len(one.pieces)), np.zeros(256)
+    times = {w: float(k % 7 + 1) for k, w in enumerate(words)}
+    for w, n in times.items():
+        one.expect(w, n, counts, spelled)
+    many.expect_all(times, total, by_bytes)
+    assert {p: n for p, n in zip(one.pieces, total) if n} == pytest.approx({p: n for p, n in counts.items() if n})
+    assert by_bytes == pytest.approx(spelled)
+
+
+def test_scores_of_the_vocabulary_many_words_at_a_time():
+    m, rng = lattice_lm.read_vocabulary(), random.Random(9)
+    words = ["".join(rng.choice("etaoinshrdlu,.é9") for _ in range(rng.randint(1, 14))) for _ in range(2000)]
+    got = m.log10_of(words)
+    other = lattice_lm.read_vocabulary()
+    assert got == pytest.approx({w: other.log10(w) for w in words})
