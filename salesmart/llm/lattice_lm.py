@@ -27,7 +27,7 @@ import math
 import os
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pandas as pd
@@ -69,6 +69,10 @@ def _substrings(codes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
         yield keys
 
 
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys * _FACTOR) >> np.uint64(44)
+
+
 def _groups(words: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
     """Words of one length, with the code points of mark and word, in bounded groups."""
     words = sorted(words, key=len)
@@ -103,7 +107,9 @@ class Lattice:
                 keys, ks = keys[order], np.array(ks)[order]
                 if (keys[1:] == keys[:-1]).any():
                     raise ValueError("two pieces of the vocabulary have one hash")
-                self._tables[n] = (keys, ks, np.log(self.probs[ks]))
+                maybe = np.zeros(1 << 20, dtype=bool)
+                maybe[_slots(keys)] = True
+                self._tables[n] = (maybe, keys, ks, np.log(self.probs[ks]))
         return self._log
 
     def _weights(self, codes: np.ndarray) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray], np.ndarray]:
@@ -111,10 +117,13 @@ class Lattice:
         weights, pieces = {}, {}
         for n, keys in enumerate(_substrings(codes, self._longest), 1):
             if n in self._tables:
-                known, ks, logs = self._tables[n]
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[at] == keys
-                weights[n], pieces[n] = np.where(hit, logs[at], -np.inf), np.where(hit, ks[at], -1)
+                maybe, known, ks, logs = self._tables[n]
+                weights[n], pieces[n] = np.full(keys.shape, -np.inf), np.full(keys.shape, -1)
+                row, place = np.nonzero(maybe[_slots(keys)])  # few substrings get as far as the search
+                wanted = keys[row, place]
+                at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                hit = known[at] == wanted
+                weights[n][row[hit], place[hit]], pieces[n][row[hit], place[hit]] = logs[at[hit]], ks[at[hit]]
         if 1 not in weights:
             weights[1], pieces[1] = np.full(codes.shape, -np.inf), np.full(codes.shape, -1)
         spelt = pieces[1] < 0
@@ -130,17 +139,14 @@ class Lattice:
         return alpha
 
     def log10_of(self, words: Iterable[str]) -> dict[str, float]:
-        """log10 of the marginal probability of each word; short ones are remembered."""
+        """log10 of the marginal probability of each word."""
         self._logs()
         out = {w: self._seen[w] for w in words if w in self._seen}
         new = [w for w in words if w not in out]
-        if len(self._seen) + len(new) > _CACHE:
-            self._seen.clear()
         for group, codes in _groups([w for w in new if len(w) < WIDE]):
             got = self._alphas(self._weights(codes)[0], codes.shape[1])[-1] / math.log(10)
             out.update(zip(group, got.tolist()))
         out.update((w, self.log10(w)) for w in new if len(w) >= WIDE)
-        self._seen.update((w, out[w]) for w in new[:_CACHE] if len(w) <= HOT_CHARS)
         return out
 
     def expect_all(self, times: dict[str, float], counts: np.ndarray, spelled: np.ndarray) -> None:
@@ -308,32 +314,50 @@ def adapt(model: Lattice, counts: DataFrame, n_docs: int, rounds: int = ROUNDS,
     return model
 
 
+def frequent(counts: DataFrame, most: int) -> dict[str, int]:
+    """Words with the highest counts, at most so many; counts of one step of a log scale go together."""
+    step = F.floor(F.log2("c") * 64).alias("step")
+    counts = counts.where(F.char_length("word") <= HOT_CHARS)
+    sizes = sorted(counts.groupBy(step).count().collect(), reverse=True)  # at most 64 * 63 steps
+    upto = [r.step for r, total in zip(sizes, accumulate(r["count"] for r in sizes)) if total <= most]
+    if not upto:
+        return {}
+    return {r.word: r.c for r in counts.where(step >= upto[-1]).collect()}
+
+
 def _score(model: Lattice, hot: dict[str, int]):
+    of_hot = model.log10_of(hot)
+    known = {w.encode(): (of_hot[w], math.log10(c + 1)) for w, c in hot.items()}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = math.log10(model.end)
-        base = {w.encode(): (c, math.log10(c + 1)) for w, c in hot.items()}
+        scores: dict[bytes, float] = {}
         for pdf in batches:
             out = []
             texts = [Counter((text or "").encode("utf-8", "replace").lower().split()) for text in pdf["text"]]
-            names = {w: w.decode("utf-8") for w in set().union(*texts)}
-            scores = model.log10_of(names.values())
+            new = {w: w.decode("utf-8") for w in set().union(*texts) if w not in known and w not in scores}
+            if len(scores) > _CACHE:
+                scores = {}
+                new = {w: w.decode("utf-8") for w in set().union(*texts) if w not in known}
+            made = model.log10_of(new.values())
+            scores.update((w, made[word]) for w, word in new.items())
             for ws in texts:
-                known, total, score, rest, times = 0, 0.0, end, [], []
+                n_known, total, score, rest, times = 0, 0.0, end, [], []
                 for w, tf in ws.items():
-                    word = names[w]
-                    score += tf * scores[word]
-                    got = base.get(w)
+                    got = known.get(w)
                     if got is None:
-                        rest.append(word)
+                        score += tf * scores[w]
+                        rest.append(w.decode("utf-8"))
                         times.append(tf)
                     else:
-                        known += tf
+                        n_known += tf
+                        score += tf * got[0]
                         total += tf * got[1]
-                out.append((ws.total() + 1, known, total, score, rest, times))
+                out.append((ws.total() + 1, n_known, total, score, rest, times))
             cols = list(zip(*out)) or [[]] * 6
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "no_id": pdf["no_id"].to_numpy(), "held_out": pdf["held_out"].to_numpy(),
-                                "n": cols[0], "known": cols[1], "total": cols[2], "score": cols[3], "rest": cols[4],
-                                "times": cols[5]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "no_id": pdf["no_id"].to_numpy(),
+                                "held_out": pdf["held_out"].to_numpy(), "n": cols[0], "known": cols[1], "total": cols[2],
+                                "score": cols[3], "rest": cols[4], "times": cols[5]})
     return run
 
 
@@ -348,8 +372,7 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_all, v_all = (size.n or 0) + n_docs, size.v + (n_docs > 0)
     model = adapt(read_vocabulary(vocabulary), counts, n_docs, rounds)
-    hot = counts.where(F.char_length("word") <= HOT_CHARS).orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
-    rows = docs.mapInPandas(_score(model, {r.word: r.c for r in hot}),
+    rows = docs.mapInPandas(_score(model, frequent(counts, HOT_WORDS)),
                             f"{ID}, held_out boolean, n long, known long, total double, score double, "
                             "rest array<string>, times array<int>")
     # the row number is written with the rows, so it is the same whenever they are read

@@ -75,3 +75,10 @@ def test_scores_of_the_vocabulary_many_words_at_a_time():
     got = m.log10_of(words)
     other = lattice_lm.read_vocabulary()
     assert got == pytest.approx({w: other.log10(w) for w in words})
+
+
+def test_frequent_words_stay_within_their_bound(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1 + 1000 // (i + 1)) for i in range(500)] + [("z" * 100, 9999)], "word string, c long")
+    got = lattice_lm.frequent(counts, 100)
+    assert 50 <= len(got) <= 100 and got["w0"] == 1001 and "z" * 100 not in got
+    assert lattice_lm.frequent(counts.where("c < 0"), 100) == {} and len(lattice_lm.frequent(counts, 10 ** 4)) == 500
