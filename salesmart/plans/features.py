@@ -43,10 +43,9 @@ def landed_accounting(i: Inputs, root: str) -> tuple[str, str]:
     that has some of the first one's files again under other names."""
     spark = i.fx.spark
     first, second = f"{root}/landing/first", f"{root}/landing/second"
-    lines = i.accounting.select(F.year("realization_date").alias("y"), F.to_json(F.struct("*")).alias("line"))
-    for text, ids, _ in DAMAGED:
-        lines = lines.unionByName(i.accounting.where(ids.replace("VARCHAR(20)", "STRING")).select(
-            F.year("realization_date").alias("y"), F.expr(text.replace("VARCHAR(20)", "STRING")).alias("line")))
+    damaged = [F.when(F.expr(ids), F.expr(text.replace("VARCHAR(20)", "STRING"))) for text, ids, _ in DAMAGED]
+    lines = i.accounting.select(F.year("realization_date").alias("y"), F.explode(F.array_compact(
+        F.array(F.to_json(F.struct("*")), *damaged))).alias("line"))
     early = F.coalesce("y", F.lit(0)) < 1996
     lines.where(early).write.partitionBy("y").text(first)
     lines.where(~early).write.partitionBy("y").text(second)

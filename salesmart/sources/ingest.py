@@ -23,6 +23,7 @@ Lines are read whole whatever they hold; nothing is dropped silently: lines of l
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +59,8 @@ class Ingested:
     accepted: DataFrame
     quarantine: DataFrame
     ledger: DataFrame
+    #: One row per file with its digest and status, without the counts that need the lines parsed.
+    files: DataFrame
 
 
 def landed_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -146,7 +149,10 @@ def checked(lines: DataFrame, landed: Landed) -> DataFrame:
     reason = (F.when(F.col("texts").isNull(), F.lit("malformed"))
               .when(F.size(wrong) > 0, F.concat(F.lit("bad type: "), F.array_join(wrong, ", ")))
               .when(F.size(absent) > 0, F.concat(F.lit("missing: "), F.array_join(absent, ", "))))
-    return held.withColumn("reason", reason).drop("texts", "exact")
+    # a generator of one row: a test of the reason stays above it, where it would otherwise be pushed below the parsed
+    # columns and parse the line anew for each of their uses
+    outcome = F.inline(F.array(F.struct(F.col("row"), reason.alias("reason"))))
+    return held.select(*lines.columns, outcome)
 
 
 def without_headers(lines: DataFrame, landed: Landed) -> DataFrame:
@@ -156,14 +162,28 @@ def without_headers(lines: DataFrame, landed: Landed) -> DataFrame:
     return lines.where(F.trim(RAW) != landed.sep.join(landed.schema.names))
 
 
-def ingest(spark: SparkSession, path: str, landed: Landed, known: DataFrame | None = None) -> Ingested:
+def _counts(rows: DataFrame) -> DataFrame:
+    """One row per file: its accepted and quarantined lines."""
+    return rows.groupBy(FILE).agg(F.count(F.when(F.col("reason").isNull(), 1)).alias("accepted"),
+                                  F.count("reason").alias("quarantined"))
+
+
+def _ledger(files: DataFrame, counts: DataFrame) -> DataFrame:
+    return files.join(counts, FILE, "left").select(
+        FILE, "digest", "lines", F.coalesce("accepted", F.lit(0)).cast("long").alias("accepted"),
+        F.coalesce("quarantined", F.lit(0)).cast("long").alias("quarantined"), "status", "delivered_at")
+
+
+def ingest(spark: SparkSession, path: str, landed: Landed, known: DataFrame | None = None,
+           files: DataFrame | None = None) -> Ingested:
     """The accepted rows, the quarantine and the ledger of all files below path.
 
     known: the ledger of earlier deliveries; a file whose digest it has as loaded, under any name, is repeated, unless it
-    is that very file (so an ingest that is run again over one folder gives the same).
+    is that very file (so an ingest that is run again over one folder gives the same). files: the files' digests, where
+    they are known already.
     """
     lines = without_headers(landed_lines(spark, path), landed)
-    files = file_digests(lines)
+    files = file_digests(lines) if files is None else files
     # one row per file from here on; the first of equal files is a minimum, not a sorted group
     first = files.groupBy("digest").agg(F.min(F.struct("delivered_at", FILE)).alias("first"))
     if known is not None:
@@ -173,14 +193,15 @@ def ingest(spark: SparkSession, path: str, landed: Landed, known: DataFrame | No
     files = files.join(first, "digest").withColumn(
         "status", F.when(F.col(FILE) == F.col(f"first.{FILE}"), "loaded").otherwise("repeated"))
     loaded = files.where("status = 'loaded'").select(FILE)
-    rows = checked(lines, landed).join(loaded, FILE, "left_semi")
-    counts = rows.groupBy(FILE).agg(F.count(F.when(F.col("reason").isNull(), 1)).alias("accepted"),
-                                    F.count("reason").alias("quarantined"))
-    ledger = files.join(counts, FILE, "left").select(
-        FILE, "digest", "lines", F.coalesce("accepted", F.lit(0)).cast("long").alias("accepted"),
-        F.coalesce("quarantined", F.lit(0)).cast("long").alias("quarantined"), "status", "delivered_at")
+    rows = checked(lines.join(loaded, FILE, "left_semi"), landed)
     return Ingested(rows.where("reason IS NULL").select("row.*"),
-                    rows.where("reason IS NOT NULL").select(FILE, RAW, "reason"), ledger)
+                    rows.where("reason IS NOT NULL").select(FILE, RAW, "reason"), _ledger(files, _counts(rows)), files)
+
+
+def _stored(rows: DataFrame, folder: str) -> DataFrame:
+    """rows written to a folder and read back: what is made of them does not make them again."""
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 @dataclass
@@ -215,23 +236,31 @@ class IngestTable:
         """
         known = self.ledger(spark)
         done = known.select(FILE, "digest")
-        files = file_digests(without_headers(landed_lines(spark, path), self.landed))
+        pending = f"{self.root}/_pending/{uuid.uuid4().hex}"
+        try:
+            return self._deliver(spark, path, pending, known, done)
+        finally:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(pending)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _deliver(self, spark: SparkSession, path: str, pending: str, known: DataFrame, done: DataFrame) -> dict[str, int]:
+        """The lines are read twice: once for the digests, once to be parsed. Both outcomes are stored under pending."""
+        files = _stored(file_digests(without_headers(landed_lines(spark, path), self.landed)), f"{pending}/files")
         fresh = files.join(done, [FILE, "digest"], "left_anti")
         named = fresh.agg(F.count("*").alias("n"), F.sum(F.xxhash64(FILE, "digest").cast("decimal(38,0)")).alias("h")).first()
         if not named.n:
             return {"files": 0, "repeated": 0, "accepted": 0, "quarantined": 0}
         name = f"delivery={named.n}-{int(named.h) % (1 << 64):016x}"
-        got = ingest(spark, path, self.landed, known)
-        new = got.ledger.join(done, [FILE, "digest"], "left_anti")
-        new.write.mode("overwrite").parquet(f"{self.root}/_pending/{name}")
-        new = spark.read.schema(T.StructType.fromDDL(LEDGER_SCHEMA)).parquet(f"{self.root}/_pending/{name}")
+        got = ingest(spark, path, self.landed, known, files)
+        new = _stored(got.files.select(*files.columns, "status").join(done, [FILE, "digest"], "left_anti"), f"{pending}/new")
         loaded = new.where("status = 'loaded'").select(FILE)
         lines = without_headers(landed_lines(spark, path), self.landed).join(loaded, FILE, "left_semi")
-        rows = checked(lines, self.landed)
+        kept = F.when(F.col("reason").isNotNull(), F.col(RAW)).alias(RAW)   # an accepted line is in its row
+        rows = _stored(checked(lines, self.landed).select(FILE, kept, "reason", "row"), f"{pending}/rows")
         rows.where("reason IS NULL").select("row.*").write.mode("overwrite").parquet(f"{self.root}/accepted/{name}")
         rows.where("reason IS NOT NULL").select(FILE, RAW, "reason").write.mode("overwrite").parquet(
             f"{self.root}/quarantine/{name}")
-        new.write.mode("overwrite").parquet(f"{self.root}/ledger/{name}")
+        new = _stored(_ledger(new, _counts(rows)), f"{self.root}/ledger/{name}")
         out = new.agg(F.count("*").alias("files"), F.count(F.when(F.col("status") == "repeated", 1)).alias("repeated"),
                       F.sum("accepted").alias("accepted"), F.sum("quarantined").alias("quarantined")).first()
         return out.asDict()

@@ -115,3 +115,32 @@ def test_empty_folder_and_wrong_settings(spark, scratch):
         Landed(SCHEMA, fmt="xml")
     with pytest.raises(ValueError, match="lacks"):
         Landed(SCHEMA, required=("other",))
+
+
+def test_a_line_is_parsed_once_for_all_its_columns(spark, scratch):
+    """A test of the reason pushed below the parsed columns would hold the parser once for each use of a column."""
+    put(scratch, "a.json", [*GOOD, BAD[0][0]])
+    got = ingest(spark, scratch, JSON)
+    for rows in (got.accepted, got.quarantine):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("from_json") <= 4, "the texts (whether they are whole, and what they are) and exact decimals"
+
+
+def test_a_delivery_parses_its_lines_in_one_job(spark, scratch, monkeypatch):
+    """Each line passes the parser once, whatever is stored of it: the rows are counted by an accumulator above it."""
+    from pyspark.sql import functions as F
+
+    from salesmart.sources import ingest as module
+    put(f"{scratch}/in", "a.json", [*GOOD, BAD[0][0]])
+    seen, real = spark.sparkContext.accumulator(0), module.checked
+
+    @F.udf("boolean")
+    def passes(_line):
+        seen.add(1)
+        return True
+    monkeypatch.setattr(module, "checked", lambda lines, landed: real(lines.where(passes.asNondeterministic()("raw_line")), landed))
+    table = IngestTable(f"{scratch}/staging", JSON)
+    assert table.deliver(spark, f"{scratch}/in") == {"files": 1, "repeated": 0, "accepted": 4, "quarantined": 1}
+    assert seen.value == len(GOOD) + 1
+    assert table.rows(spark).count() == 4 and [r.reason for r in table.quarantine(spark).collect()] == ["malformed"]
+    assert os.listdir(f"{scratch}/staging/_pending") == []
