@@ -45,3 +45,43 @@ def test_an_interval_ends_at_a_change_and_at_a_missing_day(spark):
     assert back.columns == list(SNAPSHOT_COLUMNS)
     assert sorted((r.date, r.id, r.department) for r in back.collect()) == sorted(data)
     assert expand(held, days.limit(0)).count() == 0 and compact(snapshot.limit(0), days).count() == 0
+
+
+def attributes_of(rows):
+    """Snapshot rows of (date, id, department) with all other columns null."""
+    for name in SNAPSHOT_COLUMNS:
+        if name not in rows.columns:
+            kind = {"is_active": "boolean", "career_start": "date", "deactivation_date": "date", "birth_date": "date"}
+            rows = rows.withColumn(name, F.lit(None).cast(kind.get(name, "string")))
+    return rows
+
+
+def test_runs_over_more_days_than_a_word_has_bits(spark):
+    import random
+    rng = random.Random(3)
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=2 * n) for n in range(200)]
+    team = {(p, d): rng.choice(["a", "a", "a", "b", None]) if p else "a" for p in range(4) for d in days
+            if p == 0 or rng.random() < 0.9}
+    want = []
+    for p in range(4):
+        for k, d in enumerate(days):
+            if (p, d) in team:
+                before = days[k - 1] if k else None
+                if want and want[-1][0] == p and want[-1][3] == before and want[-1][1] == team[p, d]:
+                    want[-1][3] = d
+                else:
+                    want.append([p, team[p, d], d, d])
+    rows = [(d, p, t) for (p, d), t in team.items()]
+    snapshot = attributes_of(spark.createDataFrame(rows + rows[:50], "date date, id long, department string"))
+    held = compact(snapshot, spark.createDataFrame([(d,) for d in days], "date date"))
+    assert sorted(map(str, ([r.id, r.department, r.valid_from, r.valid_to] for r in held.collect()))) == sorted(map(str, want))
+
+
+def test_a_persons_wide_rows_are_not_sorted_by_day(spark):
+    i = Inputs(spark, SF_SMALL)
+    days = i.presence.select("date").distinct()
+    plan = compact(i.snapshot(), days)._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(id" not in plan and "bit_or" in plan
+    wide = [line for line in expand(compact(i.snapshot(), days), days)._jdf.queryExecution().executedPlan().toString()
+            .split("\n") if "hashpartitioning(_month" in line]
+    assert not wide, "intervals are not dealt by the few months there are"
