@@ -151,12 +151,17 @@ def dm_sales_staff_deals(daily_personnel: DataFrame, users: DataFrame, accountin
     # Months without a minimum have no deals.  The two branches read the same subtree of staff and minimum.
     staff_first = staff.join(deal_months(accounting, rules), PERSON_MONTH, "left")
     # The deals join on (person, month number): other keys than those staff_first is laid out by, so both sides come
-    # from a shuffle of their own and AQE can split a busy person-month.
-    by_month = staff_first.withColumn("_n", _month_number())
-    deals = deals.withColumn("_n", _month_number()).drop("year", "month")
+    # from a shuffle of their own and AQE can split a busy person-month. The keys are never NULL (a person without an id
+    # has a text that no id has), else a test for NULL would be pushed into this branch's staff and the other branch
+    # would compute the staff again.
+    by_month = staff_first.withColumns({"_n": F.coalesce(_month_number(), F.lit(-1)),
+                                        "_who": F.coalesce(F.col("user_id").cast("string"), F.lit(""))})
+    deals = deals.where(F.col("user_id").isNotNull()).withColumns({
+        "_n": F.coalesce(_month_number(), F.lit(-1)), "_who": F.coalesce(F.col("user_id").cast("string"), F.lit(""))
+    }).drop("user_id", "year", "month")
     is_first = F.col("leads") & F.struct(*RECORD_ORDER).eqNullSafe(F.col(FIRST))
     valid_first = is_first & F.col("property_type").isNotNull() & ~M.is_rental_text("property_type", rules)
-    with_deals = by_month.join(deals, ["user_id", "_n"], "inner").select(
+    with_deals = by_month.join(deals, ["_who", "_n"], "inner").select(
         *staff_columns, "realization_date", "income", "ata_id", "property_type",
         F.when(valid_first, 1).otherwise(0).alias("is_first_valid_deal"))
     without = staff_first.where(F.col(FIRST).isNull()).select(

@@ -168,10 +168,10 @@ def _fed(i: Inputs, name: str) -> tuple[E.RecordStore, str, object]:
     store = E.RecordStore(spark, f"{root}/store", records.columns)
     store.load(_first_versions(records))
     feed = _versions(records)
-    # two waves of files, so that there are several batches
+    # two waves of files, so that there are several batches; the records are read by all tasks, not by those of the files
     for wave in (0, 1):
-        feed.where(F.pmod(F.xxhash64("id", E.VERSION), F.lit(2)) == wave).coalesce(4).write.mode("append").parquet(
-            f"{root}/landing")
+        feed.where(F.pmod(F.xxhash64("id", E.VERSION), F.lit(2)) == wave).repartition(4, "id", E.VERSION).write.mode(
+            "append").parquet(f"{root}/landing")
     return store, root, feed.schema
 
 

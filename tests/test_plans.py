@@ -52,3 +52,12 @@ def test_scan_prunes_columns(spark):
     orders_scans = [s for s in scans if "o_orderkey" in s]
     assert orders_scans and all("o_comment" not in s for s in orders_scans)
     assert all(len(s.split(",")) <= 6 for s in scans)
+
+
+def test_the_deal_marts_two_branches_compute_the_staff_once(spark):
+    from salesmart.plans.catalog import queries
+    df = queries()["mart_dm_sales_staff_deals"](spark, SF_SMALL)
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    final = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("partial_collect_set") == 1
