@@ -246,6 +246,33 @@ def test_line_dedup_of_short_lines(spark):
     assert got == {0: texts[0], 1: "quite another end", 2: "short"}
 
 
+def test_line_dedup_splits_the_documents_three_times(spark, monkeypatch):
+    calls, plain_lines = [], line_dedup._lines
+    monkeypatch.setattr(line_dedup, "_lines", lambda df: calls.append(1) or plain_lines(df))
+    base = "every comparison reads the lines of buckets only, from a table that is made once for all of them"
+    texts = [base, base.replace("once", "here"), base + " and more", "nothing like the others is in this line"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_dropped for r in line_dedup.line_dedup(df).orderBy("row.doc_id").collect()] == [0, 1, 1, 0]
+    assert len(calls) <= 3  # signatures, lines to compare, places
+
+
+def test_line_parts_hold_whole_minima(spark):
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefghij"))
+    own = lambda n: "".join(rng.choice(letters, n))
+    lines = [own(8), own(9), "z" * 500, own(20) * 40] + [own(int(n)) for n in rng.integers(20, 1500, 60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines + lines[:2])], "doc_id long, text string")
+    got = {(r.h, r.part): r for r in line_dedup._parts(df).collect()}
+    whole = line_dedup._lines(df).select(*line_dedup._identity(F.col("line")), "line")
+    every = whole.select("h", "g").distinct().withColumn("parts", F.lit((1 << line_dedup.PARTS) - 1))
+    want = line_dedup._signed(line_dedup._minima(whole, every)).collect()
+    assert len(got) == len(want) == len(lines) * line_dedup.PARTS
+    for r in want:
+        g = got[r.h, r.part]
+        assert (g.bands, g.code, g.n_places) == (r.bands, r.code, r.n_places)
+    assert sorted(r.n_places for r in want if r.part == 0)[-2:] == [2, 2]
+
+
 def test_line_signatures_of_repeated_passages(spark):
     rng = np.random.default_rng(8)
     letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
